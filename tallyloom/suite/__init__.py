@@ -5,6 +5,8 @@ from importlib import import_module
 MODULES = (
     "cleaning",
     "populations",
+    "usage",
+    "ranking",
 )
 
 
