@@ -76,12 +76,14 @@ def top_app_usage(log: DataFrame, count: int = 200) -> DataFrame:
 
 def top_app_wide(usage: DataFrame, count: int) -> DataFrame:
     """The rows of `top_app_usage` as columns, 0 where a user has no row."""
-    cells = []
-    for slot in range(1, count + 1):
-        for m in ("days", "duration", "times"):
-            value = F.sum(F.when(F.col("slot") == slot, F.col(m)))
-            cells.append(F.coalesce(value, F.lit(0)).cast("double").alias(f"app{slot}_{m}"))
-    return usage.groupBy("uid").agg(*cells)
+    measures = ["days", "duration", "times"]
+    wide = usage.groupBy("uid").pivot("slot", list(range(1, count + 1))).agg(*[F.first(m).alias(m) for m in measures])
+    cells = [
+        F.coalesce(F.col(f"{slot}_{m}"), F.lit(0)).cast("double").alias(f"app{slot}_{m}")
+        for slot in range(1, count + 1)
+        for m in measures
+    ]
+    return wide.select("uid", *cells)
 
 
 def app_frequency(log: DataFrame) -> DataFrame:

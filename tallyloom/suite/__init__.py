@@ -7,6 +7,8 @@ MODULES = (
     "populations",
     "usage",
     "ranking",
+    "priors",
+    "encoding",
 )
 
 
