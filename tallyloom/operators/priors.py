@@ -118,12 +118,15 @@ def typical_app_counts(
 def class_weight_index(
     pairs: DataFrame, priors: DataFrame, classes: list[int], base: tuple = BASE_SHARES, log: DataFrame | None = None
 ) -> DataFrame:
-    """Six statistics and squared mean, per user, of sum(10 * class * share / base share) over the apps."""
+    """Six statistics and squared mean, per user, of sum(10 * class * share / base share) over the apps.
+
+    Weights are kept as decimals, so that a mean does not depend on the order of the rows.
+    """
     weight = reduce(
         lambda a, b: a + b,
         [F.lit(10.0 * k) * F.col(f"share_{k}") / F.lit(b) for k, b in zip(classes, base)],
     )
-    weights = priors.select("app", weight.alias("weight"))
+    weights = priors.select("app", round_even(weight, 6).cast("decimal(18,6)").alias("weight"))
     joined = lookup_join(pairs.select("uid", "app"), weights, "app")
     return six_stats(joined, ["uid"], {"weight": "weight"}, mean_squared=True, sized_by=log)
 

@@ -77,13 +77,10 @@ def top_app_usage(log: DataFrame, count: int = 200) -> DataFrame:
 def top_app_wide(usage: DataFrame, count: int) -> DataFrame:
     """The rows of `top_app_usage` as columns, 0 where a user has no row."""
     measures = ["days", "duration", "times"]
-    wide = usage.groupBy("uid").pivot("slot", list(range(1, count + 1))).agg(*[F.first(m).alias(m) for m in measures])
-    cells = [
-        F.coalesce(F.col(f"{slot}_{m}"), F.lit(0)).cast("double").alias(f"app{slot}_{m}")
-        for slot in range(1, count + 1)
-        for m in measures
-    ]
-    return wide.select("uid", *cells)
+    slots = range(1, count + 1)
+    cells = usage.select("uid", "slot", *[F.col(m).cast("double").alias(m) for m in measures])
+    wide = cells.groupBy("uid").pivot("slot", list(slots)).agg(*[F.first(m).alias(m) for m in measures])
+    return wide.na.fill(0.0).toDF("uid", *[f"app{slot}_{m}" for slot in slots for m in measures])
 
 
 def app_frequency(log: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ MODULES = (
     "ranking",
     "priors",
     "encoding",
+    "texts",
+    "sequences",
 )
 
 
