@@ -25,7 +25,7 @@ def assemble(base: DataFrame, blocks: list[DataFrame], how: str = "left", fill:
 
 def to_vector(df: DataFrame, columns: list[str], name: str = "features", keep: tuple[str, ...] = ()) -> DataFrame:
     """Numeric and vector columns as one vector, stored sparse where that is smaller."""
-    assembler = VectorAssembler(inputCols=columns, outputCol=name, handleInvalid="keep")
+    assembler = VectorAssembler(inputCols=columns, outputCol=name)
     return assembler.transform(df).select("uid", *keep, name)
 
 

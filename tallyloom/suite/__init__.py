@@ -11,6 +11,10 @@ MODULES = (
     "encoding",
     "texts",
     "sequences",
+    "assembly",
+    "learning",
+    "routing",
+    "tables",
 )
 
 

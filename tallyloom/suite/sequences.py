@@ -109,8 +109,8 @@ def encode_sequence(r):
 @query(
     "pad_sequence",
     with_parts(
-        f"""SELECT c_custkey AS uid, repeat('0,', {LENGTH} - CAST(coalesce(n, 0) AS INTEGER))
-        || coalesce(ids, '') AS ids FROM customer LEFT JOIN
+        f"""SELECT c_custkey AS uid, rtrim(repeat('0,', {LENGTH} - CAST(coalesce(n, 0) AS INTEGER))
+        || coalesce(ids, ''), ',') AS ids FROM customer LEFT JOIN
         (SELECT uid, count(*) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos) AS ids FROM
           (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY pos DESC) AS back FROM encoded)
           WHERE back <= {LENGTH} GROUP BY uid) ON uid = c_custkey""",
