@@ -8,33 +8,12 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.categories import MOST_VALUES
 from tallyloom.operators.hot import lookup_join
-from tallyloom.operators.stats import dense_codes
-from tallyloom.sources.stage import stage
-
-
-def ordinal_codes(df: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
-    """0-based position of every distinct value of each column, as tables (value, code).
-
-    Columns of one type are numbered together in one pass.
-    """
-    tables = {}
-    by_type: dict[str, list[str]] = {}
-    for c in columns:
-        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
-    for same in by_type.values():
-        pairs = F.array(*[F.struct(F.lit(c).alias("attr"), F.col(c).alias("value")) for c in same])
-        long = df.select(F.inline(pairs))
-        codes = stage(dense_codes(long, ["attr"], "value", "code", start=0), "attr")
-        for c in same:
-            tables[c] = codes.where(F.col("attr") == c).select(F.col("value").alias(c), F.col("code").alias(f"{c}_code"))
-    return tables
+from tallyloom.operators.stats import dense_codes, with_codes
 
 
 def ordinal_encode(df: DataFrame, columns: list[str]) -> DataFrame:
     """Add <column>_code: the 0-based position of the value among the sorted distinct values."""
-    for c, table in ordinal_codes(df, columns).items():
-        df = lookup_join(df, table, c, staged=True)
-    return df
+    return with_codes(df, {c: f"{c}_code" for c in columns}, start=0)
 
 
 def one_hot(df: DataFrame, values: dict[str, list]) -> DataFrame:

@@ -11,8 +11,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyloom.session import BROADCAST_ROWS, GROUP_ROWS, KEY_LIST, SALTS, limit
+from tallyloom.session import BROADCAST_BYTES, GROUP_ROWS, KEY_LIST, SALTS, limit
 from tallyloom.sources.stage import stage
 
 
@@ -20,14 +21,18 @@ def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None) -> DataFra
     """Keys of the groups that hold more rows than one task should, or None."""
     spark = df.sparkSession
     rows = limit(spark, GROUP_ROWS) if rows is None else rows
-    most = limit(spark, KEY_LIST)
     big = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select(*keys)
-    found = big.limit(most + 1).collect()
+    return _listed(big, limit(spark, KEY_LIST))
+
+
+def _listed(keys: DataFrame, most: int) -> DataFrame | None:
+    """A short table of keys as a literal to broadcast, a long one as a staged table, an empty one as None."""
+    found = keys.limit(most + 1).collect()
     if not found:
         return None
     if len(found) <= most:
-        return F.broadcast(spark.createDataFrame(found, df.select(*keys).schema))
-    return stage(big)
+        return F.broadcast(keys.sparkSession.createDataFrame(found, keys.schema))
+    return stage(keys)
 
 
 def split_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -156,12 +161,25 @@ def grouped_with_medians(
     return light.unionByName(heavy.select(*light.columns))
 
 
-def salted_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Shuffle join in which hot keys of the facts are spread over copies of the lookup row."""
-    hot = hot_keys(facts.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])), keys)
+def salted_join(
+    facts: DataFrame, lookup: DataFrame, keys: list[str], how: str, weight: str | None = None
+) -> DataFrame:
+    """Shuffle join in which hot keys of the facts are spread over copies of the lookup row.
+
+    `weight` names a lookup column that holds the number of fact rows per key; without
+    it the facts are counted. The salt is a hash of the whole row, so that a task that
+    runs again makes the same rows.
+    """
+    spark = facts.sparkSession
+    if weight is not None:
+        heavy_keys = lookup.where(F.col(weight) > limit(spark, GROUP_ROWS)).select(*keys)
+        hot = _listed(heavy_keys, limit(spark, KEY_LIST))
+    else:
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        hot = hot_keys(facts.where(known), keys)
     if hot is None:
         return facts.join(lookup, keys, how)
-    salts = limit(facts.sparkSession, SALTS)
+    salts = limit(spark, SALTS)
     light, heavy = split_hot(facts, keys, hot)
     heavy = heavy.withColumn("_salt", F.pmod(F.xxhash64(*heavy.columns), F.lit(salts)).cast("int"))
     copies = lookup.join(hot, keys, "left_semi").withColumn(
@@ -172,16 +190,40 @@ def salted_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str)
     return plain.unionByName(spread.select(*plain.columns))
 
 
+def _row_bytes(df: DataFrame) -> int:
+    """Rough size of a row in a broadcast table: the values and 16 bytes around them."""
+    return 16 + sum(24 if isinstance(f.dataType, T.StringType) else 8 for f in df.schema)
+
+
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, keys: str | list[str], how: str = "left", staged: bool = False
+    facts: DataFrame,
+    lookup: DataFrame,
+    keys: str | list[str],
+    how: str = "left",
+    staged: bool = False,
+    weight: str | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Join facts to a table with unique keys: broadcast when its counted rows fit, salted otherwise.
 
     The lookup is written to the shared folder first, so that counting it is cheap and
-    it is computed once. `staged` says that this has been done already.
+    it is computed once. `staged` says that this has been done already, and `rows`
+    that it has been counted.
     """
     keys = [keys] if isinstance(keys, str) else keys
     lookup = lookup if staged else stage(lookup)
-    if lookup.count() <= limit(facts.sparkSession, BROADCAST_ROWS):
+    rows = lookup.count() if rows is None else rows
+    if rows * _row_bytes(lookup) <= limit(facts.sparkSession, BROADCAST_BYTES):
         return facts.join(F.broadcast(lookup), keys, how)
-    return salted_join(facts, lookup, keys, how)
+    return salted_join(facts, lookup, keys, how, weight)
+
+
+def lookup_parts(facts: DataFrame, table: DataFrame, part: str, joins: dict[str, tuple[str, DataFrame]]) -> DataFrame:
+    """Several lookups from the parts of one staged table: {part value: (key, lookup)}.
+
+    One count of the table serves all of them.
+    """
+    sizes = {r[part]: r["n"] for r in table.groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()}
+    for value, (key, lookup) in joins.items():
+        facts = lookup_join(facts, lookup, key, staged=True, rows=sizes.get(value, 0))
+    return facts

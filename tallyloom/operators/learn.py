@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import (
@@ -66,9 +68,19 @@ def score(model: Model, rows: DataFrame, name: str = "scores", keep: tuple[str,
     return model.transform(rows).select("uid", *keep, class_scores(model).alias(name))
 
 
-def fit_folds(rows: DataFrame, make: Callable[[], Estimator], folds: int = 5) -> list[Model]:
-    """One model per fold, fitted on the rows of all other folds (uid, label, fold, features)."""
-    return [make().fit(rows.where(F.col("fold") != f)) for f in range(folds)]
+def fit_folds(rows: DataFrame, make: Callable[[], Estimator], folds: int = 5, parallel: int = 5) -> list[Model]:
+    """One model per fold, fitted on the rows of all other folds (uid, label, fold, features).
+
+    The fits are independent jobs; `parallel` of them share the cluster at a time.
+    """
+    spark = rows.sparkSession
+
+    @inheritable_thread_target(spark)
+    def fit(fold: int) -> Model:
+        return make().fit(rows.where(F.col("fold") != fold))
+
+    with ThreadPool(min(parallel, folds)) as pool:
+        return pool.map(fit, range(folds))
 
 
 def stage_folds(rows: DataFrame) -> DataFrame:

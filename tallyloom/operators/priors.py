@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import round_even
-from tallyloom.operators.hot import lookup_join
+from tallyloom.operators.hot import lookup_join, lookup_parts
 from tallyloom.operators.stats import floor_stats, six_stats
 from tallyloom.sources.stage import stage
 
@@ -68,13 +68,13 @@ def prior_backjoin(users: DataFrame, priors: DataFrame, attributes: list[str], c
     """
     priors = stage(priors, "attr")
     cells = [f"{c}_{k}" for k in classes for c in ("n", "share")]
+    joins = {}
     for a in attributes:
         named = [F.col(c).alias(f"{a}_{c}") for c in cells]
-        part = priors.where(F.col("attr") == a).select(F.col("value").alias("_value"), *named)
-        users = users.withColumn("_value", F.col(a).cast("string"))
-        users = lookup_join(users, part, "_value", staged=True).drop("_value")
-        users = users.na.fill(0, [f"{a}_{c}" for c in cells])
-    return users
+        joins[a] = (f"_{a}", priors.where(F.col("attr") == a).select(F.col("value").alias(f"_{a}"), *named))
+    users = users.withColumns({f"_{a}": F.col(a).cast("string") for a in attributes})
+    users = lookup_parts(users, priors, "attr", joins).drop(*[f"_{a}" for a in attributes])
+    return users.na.fill(0, [f"{a}_{c}" for a in attributes for c in cells])
 
 
 def out_of_fold_priors(rows: DataFrame, key: str, classes: list[int], digits: int = 4) -> DataFrame:
@@ -116,7 +116,7 @@ def typical_app_counts(
 
 
 def class_weight_index(
-    pairs: DataFrame, priors: DataFrame, classes: list[int], base: tuple = BASE_SHARES, log: DataFrame | None = None
+    pairs: DataFrame, priors: DataFrame, classes: list[int], base: tuple = BASE_SHARES
 ) -> DataFrame:
     """Six statistics and squared mean, per user, of sum(10 * class * share / base share) over the apps.
 
@@ -128,12 +128,10 @@ def class_weight_index(
     )
     weights = priors.select("app", round_even(weight, 6).cast("decimal(18,6)").alias("weight"))
     joined = lookup_join(pairs.select("uid", "app"), weights, "app")
-    return six_stats(joined, ["uid"], {"weight": "weight"}, mean_squared=True, sized_by=log)
+    return six_stats(joined, ["uid"], {"weight": "weight"}, mean_squared=True, sized_by=pairs)
 
 
-def prior_rollup(
-    pairs: DataFrame, priors: DataFrame, classes: list[int], digits: int = 4, log: DataFrame | None = None
-) -> DataFrame:
+def prior_rollup(pairs: DataFrame, priors: DataFrame, classes: list[int], digits: int = 4) -> DataFrame:
     """Six statistics of the shares and counts of the apps of each user, for every class.
 
     Shares also get the squared mean; count statistics are floored. One aggregate
@@ -147,7 +145,7 @@ def prior_rollup(
     )
     joined = lookup_join(pairs.select("uid", "app"), table, "app")
     columns = {f"share_{k}": f"share_{k}" for k in classes} | {f"n_{k}": f"n_{k}" for k in classes}
-    out = six_stats(joined, ["uid"], columns, mean_squared=True, sized_by=log)
+    out = six_stats(joined, ["uid"], columns, mean_squared=True, sized_by=pairs)
     out = out.drop(*[f"n_{k}_mean_sq" for k in classes])
     for k in classes:
         out = floor_stats(out, f"n_{k}")

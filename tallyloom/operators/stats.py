@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import equal_width, floor_guarded, round_even
-from tallyloom.operators.hot import grouped_with_medians, lookup_join, running_total
+from tallyloom.operators.hot import grouped_with_medians, lookup_parts, running_total
+from tallyloom.sources.stage import stage
 
 STATS = ("mean", "min", "max", "median", "std", "var")
 
@@ -67,8 +68,10 @@ def floor_stats(df: DataFrame, prefix: str) -> DataFrame:
 def equal_width_bins(df: DataFrame, bins: dict[str, tuple[str, int]]) -> DataFrame:
     """Add equal-width bins: {new column: (column, number of bins)}.
 
-    All maxima come from one scalar subquery over the same table.
+    The table is read twice, for the maxima and for the bins, so it is staged. All
+    maxima come from one scalar subquery.
     """
+    df = stage(df)
     columns = sorted({c for c, _ in bins.values()})
     largest = df.agg(F.struct(*[F.max(c).alias(c) for c in columns]).alias("m")).scalar()
     df = df.withColumn("_largest", largest)
@@ -88,8 +91,26 @@ def dense_codes(values: DataFrame, group: list[str], column: str, name: str, sta
     return coded.withColumn(name, F.col(name) + F.lit(start - 1))
 
 
+def with_codes(df: DataFrame, columns: dict[str, str], start: int) -> DataFrame:
+    """Add the codes of the distinct values of several columns: {column: code column}.
+
+    Columns of one type are numbered together in one pass.
+    """
+    by_type: dict[str, list[str]] = {}
+    for c in columns:
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    out = df
+    for same in by_type.values():
+        pairs = F.array(*[F.struct(F.lit(c).alias("attr"), F.col(c).alias("value")) for c in same])
+        codes = stage(dense_codes(df.select(F.inline(pairs)), ["attr"], "value", "code", start), "attr")
+        joins = {}
+        for c in same:
+            part = codes.where(F.col("attr") == c)
+            joins[c] = (c, part.select(F.col("value").alias(c), F.col("code").alias(columns[c])))
+        out = lookup_parts(out, codes, "attr", joins)
+    return out
+
+
 def global_dense_rank(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Add ascending 1-based dense ranks over the whole table: {column: rank column}."""
-    for c, name in columns.items():
-        df = lookup_join(df, dense_codes(df, [], c, name), c)
-    return df
+    return with_codes(stage(df), columns, start=1)

@@ -59,11 +59,10 @@ def user_app_nunique(log: DataFrame) -> DataFrame:
     return log.groupBy("uid").agg(F.count_distinct("app").alias("apps"))
 
 
-def user_usage_totals(log: DataFrame, days: int = 30) -> DataFrame:
-    """Active days, their share of the period, duration and times per user."""
+def user_usage_totals(by_day: DataFrame, days: int = 30) -> DataFrame:
+    """Active days, their share of the period, duration and times per user, from day totals."""
     return (
-        day_totals(log)
-        .groupBy("uid")
+        by_day.groupBy("uid")
         .agg(
             F.count(F.lit(1)).alias("use_days"),
             F.sum("duration").cast("double").alias("duration"),
@@ -114,8 +113,7 @@ def calendar(log: DataFrame, weekend: Column | None = None) -> tuple[Column, Col
 
 def usage_profile(log: DataFrame, days: int = 30, weekend: Column | None = None) -> DataFrame:
     """The three profiles of `profile` over a log."""
-    weekend_days, weekday_days = calendar(log, weekend)
-    return profile(app_totals(log, weekend), days, weekend_days, weekday_days)
+    return profile(app_totals(log, weekend), days, *calendar(log, weekend))
 
 
 def with_profile_bins(users: DataFrame) -> DataFrame:
@@ -166,16 +164,14 @@ def row_stats(log: DataFrame) -> DataFrame:
     return six_stats(log, ["uid"], {"duration": "duration", "times": "times"}, sized_by=log.select("uid"))
 
 
-def daily_app_stats(log: DataFrame) -> DataFrame:
-    """Six statistics of the app rows per day. A user has at most one row per date."""
-    return six_stats(day_totals(log), ["uid"], {"apps": "daily_apps"}, bounded=True)
+def daily_app_stats(by_day: DataFrame) -> DataFrame:
+    """Six statistics of the app rows per day. Day totals have one row per user and date."""
+    return six_stats(by_day, ["uid"], {"apps": "daily_apps"}, bounded=True)
 
 
-def daily_sum_stats(log: DataFrame) -> DataFrame:
-    """Six statistics of the duration and times per day. A user has at most one row per date."""
-    return six_stats(
-        day_totals(log), ["uid"], {"duration": "daily_duration", "times": "daily_times"}, bounded=True
-    )
+def daily_sum_stats(by_day: DataFrame) -> DataFrame:
+    """Six statistics of the duration and times per day. Day totals have one row per user and date."""
+    return six_stats(by_day, ["uid"], {"duration": "daily_duration", "times": "daily_times"}, bounded=True)
 
 
 def _spread(sums: DataFrame, prefix: str) -> DataFrame:
@@ -185,9 +181,9 @@ def _spread(sums: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def daily_variance(log: DataFrame) -> DataFrame:
-    """Whole part of the population variance of the daily sums."""
-    return _spread(day_totals(log), "daily_")
+def daily_variance(by_day: DataFrame) -> DataFrame:
+    """Whole part of the population variance of the daily sums, from day totals."""
+    return _spread(by_day, "daily_")
 
 
 def category_variance(apps: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import attributes, categories, clean, encode, priors, ranking, stats, usage
 from tallyloom.operators.assemble import assemble
+from tallyloom.sources.stage import stage
 
 
 def usage_block(
@@ -22,19 +23,21 @@ def usage_block(
 ) -> DataFrame:
     """Everything the usage log says about a user, 0 where it says nothing.
 
-    All parts follow from the app totals and the day totals. They arrive partitioned by
-    uid, so the joins between them need no further shuffle.
+    The log is reduced to app totals and day totals, which are staged because many parts
+    follow from each. The parts arrive partitioned by uid, so the joins between them
+    need no further shuffle.
     """
     weekend = usage.is_weekend() if weekend is None else weekend
-    apps = usage.app_totals(log, weekend)
+    apps = stage(usage.app_totals(log, weekend))
+    by_day = stage(usage.day_totals(log))
     categorised = categories.with_category(apps, app_categories)
-    profile = usage.usage_profile(log, days, weekend)
+    profile = usage.profile(apps, days, *usage.calendar(by_day, weekend))
     profile = usage.weekend_weekday_ratios(usage.with_profile_bins(profile))
-    spread = usage.daily_variance(log).join(usage.category_variance(categorised), "uid", "left")
+    spread = usage.daily_variance(by_day).join(usage.category_variance(categorised), "uid", "left")
     ranks = {c: f"{c}_rank" for c in spread.columns if c.endswith("_var")}
-    pairs = log.select("uid", "app").distinct()
+    pairs = apps.select("uid", "app")
     app_priors = priors.label_prior(pairs.join(labelled, "uid"), ["app"], classes, 4, support)
-    days_used = usage.day_totals(log).groupBy("uid").agg(F.count(F.lit(1)).alias("use_days"))
+    days_used = by_day.groupBy("uid").agg(F.count(F.lit(1)).alias("use_days"))
     session = ranking.longest_session_app(apps, app_categories).select(
         "uid", "session", F.col("category").alias("session_category")
     )
@@ -47,11 +50,11 @@ def usage_block(
         ranking.leading_apps(apps, "times", app_categories),
         session,
         usage.frequent_app_count(apps),
-        priors.prior_rollup(pairs, app_priors, classes, log=log.select("uid")),
+        priors.prior_rollup(pairs, app_priors, classes),
         usage.row_stats(log),
-        usage.daily_app_stats(log),
-        _renamed(usage.daily_sum_stats(log.where(weekend)), "weekend_"),
-        _renamed(usage.daily_sum_stats(log.where(~weekend)), "weekday_"),
+        usage.daily_app_stats(by_day),
+        _renamed(usage.daily_sum_stats(by_day.where(weekend)), "weekend_"),
+        _renamed(usage.daily_sum_stats(by_day.where(~weekend)), "weekday_"),
     ]
     if top:
         blocks.append(ranking.top_app_wide(ranking.top_app_usage(log, top), top))
@@ -80,7 +83,8 @@ def installed_block(
     base: tuple = priors.BASE_SHARES,
     order: str | None = None,
 ) -> DataFrame:
-    """Everything the installed apps say about a user."""
+    """Everything the installed apps say about a user. `pairs` are distinct (uid, app)."""
+    pairs = stage(pairs)
     owned = pairs.join(labelled, "uid")
     coarse = priors.label_prior(owned, ["app"], classes, 2)
     fine = priors.label_prior(owned, ["app"], classes, 4, support)

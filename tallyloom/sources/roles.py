@@ -5,9 +5,14 @@ Labels are the market segments; accounts in debt stand for users without a label
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.sources.stage import stage
+
 # The market segments; a label is the 1-based position.
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 CLASSES = [1, 2, 3, 4, 5]
@@ -40,6 +45,13 @@ class Roles:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._kept: dict[str, DataFrame] = {}
+
+    def kept(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table that one query reads several times, staged on first use."""
+        if name not in self._kept:
+            self._kept[name] = stage(build())
+        return self._kept[name]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -94,6 +106,18 @@ class Roles:
         pairs = self.usage().select("uid", "app").distinct()
         return pairs.join(names, F.col("app") == F.col("part")).select("uid", F.col("name").alias("app")).distinct()
 
+    def pairs(self) -> DataFrame:
+        """Distinct (uid, app) pairs of the usage log, staged."""
+        return self.kept("pairs", lambda: self.usage().select("uid", "app").distinct())
+
+    def installed_pairs(self) -> DataFrame:
+        """The installed apps, staged."""
+        return self.kept("installed", self.installed)
+
+    def raw_lists(self) -> DataFrame:
+        """The raw lists of installed apps, staged."""
+        return self.kept("lists", self.installed_lists)
+
     def installed_lists(self) -> DataFrame:
         """The raw form of the installed apps: one row per user, ids joined by #."""
         pairs = self.installed()
@@ -132,8 +156,6 @@ class Roles:
 
     def vectors(self) -> DataFrame:
         """Feature vectors with 0-based labels."""
-        from pyspark.ml.functions import array_to_vector
-
         return self.table("embeddings").select(
             F.col("vec_id").cast("long").alias("uid"),
             F.col("label").cast("double").alias("label"),

@@ -34,12 +34,13 @@ from tallyloom.suite.registry import SQL, query, real, with_parts
 )
 def feature_assembly(r):
     log = r.usage()
-    apps = usage.app_totals(log)
+    apps, by_day = r.kept("apps", lambda: usage.app_totals(log)), usage.day_totals(log)
     categorised = categories.with_category(apps, r.categories())
+    profile = usage.profile(apps, 30, *usage.calendar(log))
     return assemble.assemble(
-        usage_queries.user_usage_averages(r),
+        profile.select("uid", *usage_queries.ALL_COLUMNS),
         [
-            usage.daily_variance(log),
+            usage.daily_variance(by_day),
             categories.category_usage(categorised, PART_TYPES),
             categories.category_nunique(categorised),
             ranking.leading_apps(apps, "duration", r.categories()),

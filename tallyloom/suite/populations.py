@@ -38,7 +38,7 @@ def explode_installed(r):
     ),
 )
 def install_ratio(r):
-    out = categories.install_ratio(r.installed())
+    out = categories.install_ratio(r.installed_pairs())
     return out.withColumn("ratio", round_even(F.col("ratio"), 6))
 
 

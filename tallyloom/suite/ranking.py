@@ -91,7 +91,7 @@ def top_app_category(r):
 )
 def global_dense_rank(r):
     return stats.global_dense_rank(
-        usage.daily_variance(r.usage()),
+        usage.daily_variance(usage.day_totals(r.usage())),
         {"daily_duration_var": "duration_var_rank", "daily_times_var": "times_var_rank"},
     )
 

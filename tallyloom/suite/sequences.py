@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyloom.functions.arrays import join_list
-from tallyloom.operators import categories, ranking, sequence
+from tallyloom.operators import ranking, sequence
 from tallyloom.suite.cleaning import SPEND_CUTS
 from tallyloom.suite.registry import query, with_parts
 
@@ -23,7 +23,11 @@ _extra = {"copies": _copies, "installed_list": _installed, "used_list": _used}
 
 
 def _named_totals(r):
-    """Totals per user and named app, so that both lists share their kind of id."""
+    """Totals per user and named app, so that both lists share their kind of id. Staged."""
+    return r.kept("named", lambda: _build_named(r))
+
+
+def _build_named(r):
     names = r.table("part").select(
         F.col("p_partkey").alias("app"), F.concat_ws(" ", "p_brand", "p_name").alias("name")
     )
@@ -36,16 +40,16 @@ def _copies_of(r):
 
 
 def _installed_rows(r):
-    return sequence.numbered(categories.explode_installed(r.installed_lists()), ["app"], r.usage().select("uid"))
+    return sequence.list_rows(r.raw_lists())
 
 
 def _used_rows(r):
-    return sequence.numbered(_copies_of(r), ["app", "copy"])
+    return sequence.numbered(_copies_of(r), ["app", "copy"], sized_by=_named_totals(r))
 
 
 def _vocabulary_of(r):
     used = _copies_of(r).withColumn("use_date", F.lit(1))
-    return sequence.build_vocabulary(r.installed(), ranking.most_used_apps(used, 500))
+    return sequence.build_vocabulary(_installed_rows(r), ranking.most_used_apps(used, 500))
 
 
 @query("replicate_by_bucket", with_parts("SELECT uid, app, copy FROM copies", *_parts, **_extra))
@@ -64,7 +68,7 @@ _union = """SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY app) AS pos
 
 @query("app_list_union", with_parts(_union, *_parts, **_extra))
 def app_list_union(r):
-    return sequence.list_union_rows(r.installed(), _named_totals(r))
+    return sequence.list_union_rows(_installed_rows(r), _named_totals(r))
 
 
 _concat = """SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY part, pos) AS pos, app FROM

@@ -36,7 +36,7 @@ def _six(weights):
     ),
 )
 def tfidf_installed(r):
-    docs = r.installed_lists().withColumnRenamed("uid", "doc")
+    docs = r.raw_lists().withColumnRenamed("uid", "doc")
     return _six(text.tfidf(docs, split_list(F.col("apps")), 0.0008))
 
 
@@ -119,6 +119,7 @@ def count_vector(r):
 )
 def count_vector_train(r):
     """Vocabulary from the labelled users only."""
-    rows = r.usage().select(F.col("uid").alias("doc"), F.col("app").alias("token"))
-    fit = sequence.only_users(r.usage().select("uid", "app"), r.labelled())
+    log = r.kept("log", lambda: r.usage().select("uid", "app"))
+    rows = log.select(F.col("uid").alias("doc"), F.col("app").alias("token"))
+    fit = sequence.only_users(log, r.labelled())
     return text.count_rows(rows, 1, fit.select(F.col("uid").alias("doc"), F.col("app").alias("token")))

@@ -53,7 +53,7 @@ def _columns(part: str) -> list[str]:
     ),
 )
 def user_usage_totals(r):
-    return usage.user_usage_totals(r.usage())
+    return usage.user_usage_totals(usage.day_totals(r.usage()))
 
 
 @query(
@@ -66,15 +66,15 @@ def user_usage_totals(r):
     ),
 )
 def user_usage_totals_month(r):
-    return usage.user_usage_totals(r.month_log())
+    return usage.user_usage_totals(usage.day_totals(r.month_log()))
 
 
-_averages = _columns("all")
+ALL_COLUMNS = _columns("all")
 
 
-@query("user_usage_averages", _profile_sql(", ".join(_averages)))
+@query("user_usage_averages", _profile_sql(", ".join(ALL_COLUMNS)))
 def user_usage_averages(r):
-    return usage.usage_profile(r.usage()).select("uid", *_averages)
+    return usage.usage_profile(r.usage()).select("uid", *ALL_COLUMNS)
 
 
 @query(
@@ -103,7 +103,7 @@ def six_stats_rows(r):
     with_parts(f"SELECT uid, {stats_sql('apps', 'daily_apps', 6)} FROM day_totals GROUP BY uid", "day_totals"),
 )
 def daily_app_count_stats(r):
-    return stats.round_stats(usage.daily_app_stats(r.usage()), "daily_apps", 6)
+    return stats.round_stats(usage.daily_app_stats(usage.day_totals(r.usage())), "daily_apps", 6)
 
 
 def _daily_sum_sql(condition: str) -> str:
@@ -115,7 +115,7 @@ def _daily_sum_sql(condition: str) -> str:
 
 
 def _daily_sum(log):
-    out = usage.daily_sum_stats(log)
+    out = usage.daily_sum_stats(usage.day_totals(log))
     return stats.round_stats(stats.round_stats(out, "daily_duration", 4, 0), "daily_times", 6)
 
 
@@ -140,7 +140,7 @@ _category_sums = """SELECT uid, category, sum(duration) AS duration, sum(times)
 
 @query("daily_var_pop", with_parts(_variance_sql("daily", "day_totals"), "day_totals"))
 def daily_var_pop(r):
-    return usage.daily_variance(r.usage())
+    return usage.daily_variance(usage.day_totals(r.usage()))
 
 
 @query("category_var_pop", with_parts(_variance_sql("category", "sums"), "categorised", sums=_category_sums))
