@@ -7,8 +7,6 @@ and so do lookups on a popular key.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,22 +15,28 @@ from tallyloom.session import BROADCAST_BYTES, GROUP_ROWS, KEY_LIST, SALTS, limi
 from tallyloom.sources.stage import stage
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows: int | None = None) -> DataFrame | None:
-    """Keys of the groups that hold more rows than one task should, or None."""
-    spark = df.sparkSession
-    rows = limit(spark, GROUP_ROWS) if rows is None else rows
-    big = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select(*keys)
-    return _listed(big, limit(spark, KEY_LIST))
+def _counted_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of the groups that hold more rows than one task should."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > limit(df.sparkSession, GROUP_ROWS)).select(*keys)
 
 
-def _listed(keys: DataFrame, most: int) -> DataFrame | None:
-    """A short table of keys as a literal to broadcast, a long one as a staged table, an empty one as None."""
+def _listed(keys: DataFrame) -> tuple[DataFrame | None, bool]:
+    """A short list of keys as a literal table, else None, and whether the list is too long for that."""
+    most = limit(keys.sparkSession, KEY_LIST)
     found = keys.limit(most + 1).collect()
-    if not found:
-        return None
-    if len(found) <= most:
-        return F.broadcast(keys.sparkSession.createDataFrame(found, keys.schema))
-    return stage(keys)
+    if len(found) > most:
+        return None, True
+    return (keys.sparkSession.createDataFrame(found, keys.schema) if found else None), False
+
+
+def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
+    """Keys of the groups that hold more rows than one task should, or None if there are none."""
+    big = _counted_keys(df, keys)
+    short, long = _listed(big)
+    if long:
+        return stage(big)
+    return None if short is None else F.broadcast(short)
 
 
 def split_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -162,32 +166,41 @@ def grouped_with_medians(
 
 
 def salted_join(
-    facts: DataFrame, lookup: DataFrame, keys: list[str], how: str, weight: str | None = None
+    facts: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    how: str,
+    weight: str | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join in which hot keys of the facts are spread over copies of the lookup row.
 
     `weight` names a lookup column that holds the number of fact rows per key; without
-    it the facts are counted. The salt is a hash of the whole row, so that a task that
-    runs again makes the same rows.
+    it the keys are counted in the facts, or in a cheaper table with the same keys. The
+    salt is a hash of the whole row, so that a task that runs again makes the same rows.
+    Should the hot keys be too many to list, every key is salted.
     """
     spark = facts.sparkSession
     if weight is not None:
-        heavy_keys = lookup.where(F.col(weight) > limit(spark, GROUP_ROWS)).select(*keys)
-        hot = _listed(heavy_keys, limit(spark, KEY_LIST))
+        big = lookup.where(F.col(weight) > limit(spark, GROUP_ROWS)).select(*keys)
     else:
-        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        hot = hot_keys(facts.where(known), keys)
-    if hot is None:
+        big = _counted_keys((facts if sized_by is None else sized_by).dropna(subset=keys), keys)
+    hot, long = _listed(big)
+    if hot is None and not long:
         return facts.join(lookup, keys, how)
     salts = limit(spark, SALTS)
-    light, heavy = split_hot(facts, keys, hot)
-    heavy = heavy.withColumn("_salt", F.pmod(F.xxhash64(*heavy.columns), F.lit(salts)).cast("int"))
-    copies = lookup.join(hot, keys, "left_semi").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    spread = heavy.join(copies, [*keys, "_salt"], how).drop("_salt")
-    plain = light.join(lookup, keys, how)
-    return plain.unionByName(spread.select(*plain.columns))
+    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    if long:
+        facts = facts.withColumn("_salt", salt)
+        lookup = lookup.withColumn("_salt", F.explode(every))
+    else:
+        marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+        facts = facts.join(marked, keys, "left")
+        facts = facts.withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))).drop("_hot")
+        copies = F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))
+        lookup = lookup.join(marked, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return facts.join(lookup, [*keys, "_salt"], how).drop("_salt")
 
 
 def _row_bytes(df: DataFrame) -> int:
@@ -203,6 +216,7 @@ def lookup_join(
     staged: bool = False,
     weight: str | None = None,
     rows: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Join facts to a table with unique keys: broadcast when its counted rows fit, salted otherwise.
 
@@ -215,7 +229,7 @@ def lookup_join(
     rows = lookup.count() if rows is None else rows
     if rows * _row_bytes(lookup) <= limit(facts.sparkSession, BROADCAST_BYTES):
         return facts.join(F.broadcast(lookup), keys, how)
-    return salted_join(facts, lookup, keys, how, weight)
+    return salted_join(facts, lookup, keys, how, weight, sized_by)
 
 
 def lookup_parts(facts: DataFrame, table: DataFrame, part: str, joins: dict[str, tuple[str, DataFrame]]) -> DataFrame:
@@ -224,6 +238,7 @@ def lookup_parts(facts: DataFrame, table: DataFrame, part: str, joins: dict[str,
     One count of the table serves all of them.
     """
     sizes = {r[part]: r["n"] for r in table.groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = facts
     for value, (key, lookup) in joins.items():
-        facts = lookup_join(facts, lookup, key, staged=True, rows=sizes.get(value, 0))
-    return facts
+        out = lookup_join(out, lookup, key, staged=True, rows=sizes.get(value, 0), sized_by=facts)
+    return out

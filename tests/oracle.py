@@ -1,6 +1,8 @@
 """Side-by-side run of a registered query and its SQL.
 
-python tests/oracle.py [folder] [name or part of a name ...]
+python tests/oracle.py [--hot] [folder] [name or part of a name ...]
+
+With --hot the limits are set so low that every group is hot and nothing is broadcast.
 """
 
 from __future__ import annotations
@@ -66,13 +68,24 @@ def compare(spark, con, name: str, folder: str, queries, sql) -> tuple[str, int]
     return "", sum(got.values())
 
 
+HOT = {"tallyloom.groupRows": "5", "tallyloom.broadcastBytes": "0", "tallyloom.salts": "3"}
+
+
+def set_hot(spark, on: bool = True) -> None:
+    for name, value in HOT.items():
+        spark.conf.set(name, value) if on else spark.conf.unset(name)
+
+
 def main() -> int:
     import __spark_entry__ as entry
     from tallyloom.session import build_session
 
-    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    wanted = sys.argv[2:]
+    args = [a for a in sys.argv[1:] if a != "--hot"]
+    folder = args[0] if args else "/root/testdata/sf0.01"
+    wanted = args[1:]
     spark, con = build_session("oracle", 8), connect(folder)
+    if "--hot" in sys.argv:
+        set_hot(spark)
     queries, sql = entry.queries(), entry.oracle_sql()
     bad = 0
     for name in queries:
