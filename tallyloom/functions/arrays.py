@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,15 +28,20 @@ def words(text: Column, pattern: str = WORD) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+def computed_once(value: Column, build: Callable[[Column], Column]) -> Column:
+    """build(value) with the value bound to a lambda variable, for values that are costly to repeat."""
+    return F.transform(F.array(value), build).getItem(0)
+
+
 def with_bigrams(tokens: Column) -> Column:
     """The tokens followed by every pair of neighbours, joined by a space."""
-    n = F.size(tokens)
-    pairs = F.zip_with(
-        F.slice(tokens, F.lit(1), F.greatest(n - 1, F.lit(0))),
-        F.slice(tokens, F.lit(2), F.greatest(n - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b),
-    )
-    return F.when(n < 2, tokens).otherwise(F.concat(tokens, pairs))
+
+    def build(t: Column) -> Column:
+        pairs = F.greatest(F.size(t) - 1, F.lit(0))
+        left, right = F.slice(t, F.lit(1), pairs), F.slice(t, F.lit(2), pairs)
+        return F.concat(t, F.zip_with(left, right, lambda a, b: F.concat_ws(" ", a, b)))
+
+    return computed_once(tokens, build)
 
 
 def list_union(first: Column, second: Column) -> Column:
