@@ -7,6 +7,8 @@ and so do lookups on a popular key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -146,18 +148,25 @@ def grouped_with_medians(
     medians: dict[str, str],
     sized_by: DataFrame | None = None,
     bounded: bool = False,
+    enrich: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One grouped aggregate with exact medians: {column: output name}.
 
-    `bounded` says that the group size has a natural bound (days of a calendar), so
-    no search for hot groups is needed.
+    `bounded` says that the group size has a natural bound (days of a calendar), so no
+    search for hot groups is needed. `enrich` attaches columns to the rows, after they
+    have been shuffled.
+
+    Half-built medians are larger than the rows they come from, so ordinary groups are
+    shuffled as rows, and the aggregate then needs no exchange of its own.
     """
+    enrich = enrich or (lambda rows: rows)
     middles = [F.median(c).alias(name) for c, name in medians.items()]
     hot = None if bounded else hot_keys(df if sized_by is None else sized_by, group)
     if hot is None:
-        return df.groupBy(*group).agg(*measures, *middles)
+        return enrich(df.repartition(*group)).groupBy(*group).agg(*measures, *middles)
     light, heavy = split_hot(df, group, hot)
-    light = light.groupBy(*group).agg(*measures, *middles)
+    light = enrich(light.repartition(*group)).groupBy(*group).agg(*measures, *middles)
+    heavy = enrich(heavy)
     found = _sliced_medians(heavy, group, list(medians))
     heavy = heavy.groupBy(*group).agg(*measures).join(found, group, "left")
     for c, name in medians.items():

@@ -126,9 +126,14 @@ def class_weight_index(
         lambda a, b: a + b,
         [F.lit(10.0 * k) * F.col(f"share_{k}") / F.lit(b) for k, b in zip(classes, base)],
     )
-    weights = priors.select("app", round_even(weight, 6).cast("decimal(18,6)").alias("weight"))
-    joined = lookup_join(pairs.select("uid", "app"), weights, "app")
-    return six_stats(joined, ["uid"], {"weight": "weight"}, mean_squared=True, sized_by=pairs)
+    weights = stage(priors.select("app", round_even(weight, 6).cast("decimal(18,6)").alias("weight")))
+    return six_stats(
+        pairs.select("uid", "app"),
+        ["uid"],
+        {"weight": "weight"},
+        mean_squared=True,
+        enrich=lambda rows: lookup_join(rows, weights, "app", staged=True),
+    )
 
 
 def prior_rollup(pairs: DataFrame, priors: DataFrame, classes: list[int], digits: int = 4) -> DataFrame:
@@ -138,14 +143,21 @@ def prior_rollup(pairs: DataFrame, priors: DataFrame, classes: list[int], digits
     serves all classes.
     """
     exact = f"decimal(10,{digits})"
-    table = priors.select(
-        "app",
-        *[F.col(f"share_{k}").cast(exact).alias(f"share_{k}") for k in classes],
-        *[f"n_{k}" for k in classes],
+    table = stage(
+        priors.select(
+            "app",
+            *[F.col(f"share_{k}").cast(exact).alias(f"share_{k}") for k in classes],
+            *[f"n_{k}" for k in classes],
+        )
     )
-    joined = lookup_join(pairs.select("uid", "app"), table, "app")
     columns = {f"share_{k}": f"share_{k}" for k in classes} | {f"n_{k}": f"n_{k}" for k in classes}
-    out = six_stats(joined, ["uid"], columns, mean_squared=True, sized_by=pairs)
+    out = six_stats(
+        pairs.select("uid", "app"),
+        ["uid"],
+        columns,
+        mean_squared=True,
+        enrich=lambda rows: lookup_join(rows, table, "app", staged=True),
+    )
     out = out.drop(*[f"n_{k}_mean_sq" for k in classes])
     for k in classes:
         out = floor_stats(out, f"n_{k}")

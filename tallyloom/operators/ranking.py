@@ -89,5 +89,8 @@ def app_frequency(log: DataFrame) -> DataFrame:
 
 
 def most_used_apps(log: DataFrame, count: int = 100_000) -> DataFrame:
-    """The `count` apps with the most log rows, ties to the lower app."""
+    """The `count` apps with the most log rows, ties to the lower app.
+
+    Every task keeps its own first `count` apps, so that many rows per task reach the last one.
+    """
     return app_frequency(log).orderBy(F.col("uses").desc(), "app").limit(count)

@@ -8,7 +8,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Rows of one group that a single task may hold. Larger groups take the sliced plan.
-GROUP_ROWS = ("tallyloom.groupRows", 2_000_000)
+GROUP_ROWS = ("tallyloom.groupRows", 500_000)
 # Bytes of a lookup table that may be broadcast. Larger tables take the salted join.
 BROADCAST_BYTES = ("tallyloom.broadcastBytes", 256 * 1024 * 1024)
 # Hot keys that may be listed on the driver. A longer list stays a table.

@@ -119,7 +119,10 @@ class Roles:
         return self.kept("lists", self.installed_lists)
 
     def installed_lists(self) -> DataFrame:
-        """The raw form of the installed apps: one row per user, ids joined by #."""
+        """The raw form of the installed apps: one row per user, ids joined by #.
+
+        A list has at most one entry per part name, of which there are 64 at every scale.
+        """
         pairs = self.installed()
         return pairs.groupBy("uid").agg(F.concat_ws("#", F.array_sort(F.collect_list("app"))).alias("apps"))
 

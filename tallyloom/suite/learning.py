@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import round_even
-from tallyloom.operators import assemble, learn
-from tallyloom.plans import stacking
+from tallyloom.operators import assemble, categories, learn, population, usage
+from tallyloom.plans import pipeline, stacking
+from tallyloom.sources.roles import CLASSES as USER_CLASSES
+from tallyloom.sources.roles import COUNTERS, PART_TYPES
 from tallyloom.suite.registry import query
 
 CLASSES = 10
@@ -77,3 +79,25 @@ def stacked_scores(r):
     slim = assemble.slice_vector(meta, chosen).select("uid", "label", "fold", F.col("selected").alias("features"))
     slim = learn.stage_folds(slim)
     return _wide(learn.out_of_fold(slim, learn.fit_folds(slim, _forest)), "label", "fold")
+
+
+@query("stacked_labels")
+def stacked_labels(r):
+    """The whole run on the users: two populations, stacked scores of each, routed labels."""
+    labelled, unlabelled, log = r.labelled(), r.unlabelled(), r.month_log()
+    base = assemble.to_vector(r.attributes(), ["boot_times", *COUNTERS, "f_sum", "gender"], "base")
+    categorised = categories.with_category(usage.app_totals(r.usage()), r.categories())
+    counts = assemble.to_vector(
+        categories.category_counts(categorised, PART_TYPES), [f"n_{v}" for v in PART_TYPES], "counts"
+    )
+    month = usage.user_usage_totals(usage.day_totals(log))
+    month = assemble.to_vector(month, ["use_days", "duration", "times"], "month")
+    full, with_usage = {"base": base, "counts": counts}, {"base": base, "counts": counts, "month": month}
+    scores = []
+    for blocks, train, rest in (
+        (full, labelled, unlabelled),
+        (with_usage, population.present_in(labelled, log), population.present_in(unlabelled, log)),
+    ):
+        bases = {"forest": _forest}
+        scores.append(pipeline.population_scores(blocks, train, rest, bases, _forest, len(USER_CLASSES), folds=2)[1])
+    return pipeline.final_labels(scores[0], scores[1], unlabelled, log)

@@ -54,3 +54,12 @@ def test_split_counts_cover_all_features(spark, rows):
     kept = learn.selected_features(counts, 2)
     assert kept == sorted(kept) and 0 < len(kept) <= WIDTH
     assert counts.where(F.col("splits") > 2).count() == len(kept)
+
+
+def test_whole_run_labels_every_user_once(spark):
+    from tallyloom.suite.learning import stacked_labels
+
+    r = Roles(spark, SMALL)
+    got = stacked_labels(r).collect()
+    assert sorted(x["id"] for x in got) == sorted(x["uid"] for x in r.unlabelled().collect())
+    assert all(1 <= x["label"] <= 5 for x in got)
