@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import byte_bpe, exact_dedup, mixing, quality_rules
+from tallyloom.llm import byte_bpe, chat, exact_dedup, licenses, mixing, quality_rules, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,6 +31,16 @@ FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 WORD_LIST = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+@query("op2_license_scan")
+def op2(spark, folder):
+    return licenses.detect(documents(spark, folder))
+
+
+@query("op3_secret_scan")
+def op3(spark, folder):
+    return secrets.scan(documents(spark, folder))
+
+
 @query(
     "op4_quality_rules",
     rf"""
@@ -103,6 +113,17 @@ def op7(spark, folder):
     return exact_dedup.exact_groups(documents(spark, folder), hash_all=True).drop("text_hash")
 
 
+# A conversation whose texts are control strings, beside those of the table.
+CONTROL_TALK = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query("op9_chat_format")
+def op9(spark, folder):
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(CONTROL_TALK, "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_trees(chat.linked_turns(turns.unionByName(extra))))
+
+
 @query("op10_byte_bpe")
 def op10(spark, folder):
     import public_tokenizers

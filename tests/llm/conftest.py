@@ -1,0 +1,21 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from tallyloom.session import build_session
+
+    return build_session("tests", 8)
+
+
+def table(spark, rows, schema="doc_id long, text string, lang string, source string, n_chars long"):
+    return spark.createDataFrame(rows, schema)
+
+
+def doc(i, text, source="s0"):
+    return (i, text, "en", source, None if text is None else len(text))
