@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import byte_bpe, exact_dedup, mixing, quality_rules
+from tallyloom.llm import byte_bpe, exact_dedup, jaccard_join, mixing, quality_rules
 from tallyloom.sources.stage import stage
 
 
@@ -22,6 +22,10 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact_copies(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.drop_near_copies(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
@@ -36,6 +40,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality),
     ("exact_dedup", exact),
+    ("jaccard_join", near),
     ("weighted_mix", mixed),
     ("byte_bpe", encoded),
 ]

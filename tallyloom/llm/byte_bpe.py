@@ -16,7 +16,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import text_of
+from tallyloom.llm.hashing import chunks
 
 # Widths of the padded matrices; longer pieces go to the heap.
 WIDTHS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 256)
@@ -207,18 +207,6 @@ class Codec:
         return b"".join([tokens[i] for i in ids])
 
 
-def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about CHUNK_CHARS characters, so that memory follows the chunk and not the batch."""
-    start = held = 0
-    for k, t in enumerate(texts):
-        held += len(t)
-        if held >= CHUNK_CHARS:
-            yield start, k + 1
-            start, held = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _codec(spark, path: str, pattern: str):
     """A maker of the codec, from a broadcast of the ranks, whose size the tokenizer file fixes."""
     shared = spark.sparkContext.broadcast(read_ranks(path))
@@ -240,7 +228,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         codec = make()
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for a, b in _chunks(texts):
+            for a, b in chunks(texts, CHUNK_CHARS):
                 ids = pa.array(codec.encode(texts[a:b]), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], ids], ["doc_id", "ids"])
 
@@ -272,7 +260,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
         names, sha = codec.names, hashlib.sha256
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for a, b in _chunks(texts):
+            for a, b in chunks(texts, CHUNK_CHARS):
                 coded = codec.encode(texts[a:b])
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -50,10 +50,18 @@ def same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Col
 
 
 def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns as they were, that the decisions (doc_id, text_hash) name."""
-    named = decisions.select(
-        F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash")
-    ).distinct()
+    """The rows of docs, all columns as they were, that the decisions (doc_id, text_hash) name.
+
+    If the decisions have a column `one`, repeated rows give one row where it is true.
+    """
+    one = F.col("one") if "one" in decisions.columns else F.lit(False)
+    named = decisions.groupBy(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash")).agg(
+        F.bool_or(one).alias("__one")
+    )
     hashed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
-    joined = hashed.join(named, same(hashed, named, [(id_col, "__kept_id"), ("__text_hash", "__kept_hash")]), "left_semi")
-    return joined.select(*[joined[f"`{c}`"] for c in docs.columns])
+    joined = hashed.join(named, same(hashed, named, [(id_col, "__kept_id"), ("__text_hash", "__kept_hash")]))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if "one" not in decisions.columns:
+        return joined.select(*columns)
+    single = joined.where("__one").dropDuplicates(["__kept_id", "__kept_hash"])
+    return joined.where("not __one").unionByName(single).select(*columns)

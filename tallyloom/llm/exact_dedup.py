@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import fold, same, text_of
+from tallyloom.llm.common import fold, keep_rows, same, text_of
 from tallyloom.sources.stage import stage
 
 PREFIX_CHARS = 128
@@ -94,14 +94,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each group of equal texts, all columns as they were."""
-    decided = exact_groups(docs, id_col, text_col)
-    out = decided.where("kept").select(
-        F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash"), F.col("group_size").alias("__size")
-    )
-    hashed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
-    joined = hashed.join(out, same(hashed, out, [(id_col, "__kept_id"), ("__text_hash", "__kept_hash")]))
-    columns = [joined[f"`{c}`"] for c in docs.columns]
-    # repeated rows share id and text; one of them stays
-    lone = joined.where(F.col("__size") == 1).select(*columns)
-    several = joined.where(F.col("__size") > 1).dropDuplicates(["__kept_id", "__kept_hash"]).select(*columns)
-    return lone.unionByName(several)
+    kept = exact_groups(docs, id_col, text_col).where("kept")
+    return keep_rows(docs, kept.withColumn("one", F.col("group_size") > 1), id_col, text_col)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import byte_bpe, chat, exact_dedup, licenses, mixing, quality_rules, secrets
+from tallyloom.llm import byte_bpe, chat, exact_dedup, jaccard_join, licenses, mixing, quality_rules, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,6 +74,11 @@ def op4(spark, folder):
     return quality_rules.judge(documents(spark, folder)).drop("text_hash")
 
 
+@query("op5_jaccard_join")
+def op5(spark, folder):
+    return jaccard_join.near_duplicates(documents(spark, folder)).drop("text_hash")
+
+
 @query(
     "op6_weighted_mix",
     rf"""
