@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import byte_bpe, chat, exact_dedup, jaccard_join, licenses, mixing, quality_rules, secrets
+from tallyloom.llm import byte_bpe, chat, exact_dedup, jaccard_join, licenses, mixing, quality_rules, secrets, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,6 +31,11 @@ FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 WORD_LIST = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+@query("op1_suffix_dedup")
+def op1(spark, folder):
+    return suffix_dedup.removal_digests(documents(spark, folder))
+
+
 @query("op2_license_scan")
 def op2(spark, folder):
     return licenses.detect(documents(spark, folder))
