@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import byte_bpe, chat, exact_dedup, jaccard_join, licenses, mixing, quality_rules, secrets, suffix_dedup
+from tallyloom.llm import byte_bpe, chat, exact_dedup, jaccard_join, licenses, lm_score, mixing, quality_rules, secrets, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -123,6 +123,11 @@ def op7(spark, folder):
     return exact_dedup.exact_groups(documents(spark, folder), hash_all=True).drop("text_hash")
 
 
+@query("op8_lm_score")
+def op8(spark, folder):
+    return lm_score.score(documents(spark, folder))
+
+
 # A conversation whose texts are control strings, beside those of the table.
 CONTROL_TALK = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
 
