@@ -242,7 +242,8 @@ def exact_links(texts: DataFrame, members: DataFrame, similarity: float) -> Data
         F.col("node").alias("_node"), F.col("text_hash").alias("_hash"), "component", "weight", blocks.alias("blocks"), "_id"
     )
     hashed = texts.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    read = hashed.join(sized, same(hashed, sized, [("doc_id", "_id"), ("text_hash", "_hash")]))
+    # a broadcast of the members has no bound, so they are sorted and merged whatever their size
+    read = hashed.join(sized.hint("merge"), same(hashed, sized, [("doc_id", "_id"), ("text_hash", "_hash")]))
     read = read.select(F.col("_node").alias("node"), "component", "weight", "blocks", "text")
 
     def sets(batches):
