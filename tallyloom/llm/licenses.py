@@ -116,6 +116,9 @@ def rules() -> list[tuple[str, int, float, str, str, bool]]:
         for label, name_keyword, name in NAMES:
             longer = max(keyword, name_keyword, key=len)
             out.append((label, priority, weight, longer, form.format(name), False))
+    for label, keyword, name in NAMES:  # names with a version or variant say enough alone
+        if "-" in label:
+            out.append((label, 2, 0.9, keyword, name, False))
     return out
 
 

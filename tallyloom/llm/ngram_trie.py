@@ -113,12 +113,12 @@ class EliasFano:
 
 
 def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(codes from 1, table of values by code): 255 bins of about equal size, each with its mean in log space."""
+    """(codes from 1, table of values by code): 255 equal steps of the logarithm, each with the mean of its values."""
     if not len(values):
         return np.zeros(0, np.uint8), np.zeros(256)
     logs = np.log10(values)
-    edges = np.unique(np.quantile(logs, np.linspace(0, 1, 256)[1:-1], method="lower"))
-    codes = np.searchsorted(edges, logs, "left")
+    low, high = logs.min(), logs.max()
+    codes = np.minimum(254, ((logs - low) * (255 / max(high - low, 1e-9))).astype(np.int64))
     size = np.bincount(codes, minlength=255)
     means = np.bincount(codes, logs, 255) / np.maximum(size, 1)
     return (codes + 1).astype(np.uint8), np.append(0.0, np.where(size > 0, 10.0**means, 0.0))

@@ -58,3 +58,107 @@ def talk_digests(turns):
     told = "".join(f"{r or ''}\n{t or ''}\n" for r, t in turns)
     learned = "".join(t or "" for r, t in turns if r == "assistant")
     return len(turns), sha(told), len(learned), sha(learned)
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_table(spark, rows, extra=False):
+    """Documents from (id, text) or (id, text, source); with `extra`, columns that clash with names used inside."""
+    full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s0", None if r[1] is None else len(r[1])) for r in rows]
+    df = spark.createDataFrame(full, DOCS)
+    if extra:
+        for name in ("kept", "text_hash", "h", "n", "doc", "class_id", "copies", "size", "node", "_id", "spans", "ids", "batch"):
+            df = df.selectExpr("*", f"cast('x' as string) as {name}")
+    return df
+
+
+# Nulls, empties, blanks, repeated rows, a tie of ids, symbols outside the first plane, and long texts.
+LONG = "".join(chr(97 + (k * k + k // 7) % 26) + (" " if k % 6 == 5 else "") for k in range(120_000))
+EDGES = [
+    (1, None), (2, ""), (3, " \t\n\x0b\x0c\r "), (4, "one"), (5, "one"), (5, "one"), (6, "ONE"), (7, LONG), (8, LONG),
+    (9, "😀 naïve Straße ÀÉ\x00\x1f end"), (10, "\n\n# a\n\nb\n"), (None, "no id at all here"), (None, None),
+    (11, "x" * 5000), (12, "the same eight words stand here twice over " * 30),
+]
+
+
+def exact_groups(rows):
+    """{(id, text): (keep_id, size)} and the number of rows kept."""
+    groups = {}
+    for i, t, *_ in rows:
+        groups.setdefault((t or "").translate(FOLD), []).append(i)
+    key = lambda i: (i is not None, i)
+    return {(i, t): (max(groups[(t or "").translate(FOLD)], key=key), len(groups[(t or "").translate(FOLD)])) for i, t, *_ in rows}, len(groups)
+
+
+def shingles(text, width=5):
+    words = WORD.findall((text or "").translate(FOLD))
+    if len(words) < width:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[i : i + width]) for i in range(len(words) - width + 1))
+
+
+def near_groups(rows, similarity=0.8):
+    """{id: (class id, number of links)} of rows with different ids."""
+    sets = {r[0]: shingles(r[1]) for r in rows}
+    ids = sorted(sets)
+    parent, links = {i: i for i in ids}, dict.fromkeys(ids, 0)
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            shared = len(sets[a] & sets[b])
+            if shared and shared >= similarity * len(sets[a] | sets[b]) - 1e-9:
+                links[a] += 1
+                links[b] += 1
+                x, y = sorted((top(a), top(b)))
+                parent[y] = x
+    return {i: (top(i), links[i]) for i in ids}
+
+
+def repeated_bytes(rows, length=100):
+    """{id: (bytes, removed, runs, digest of the rest)} of rows with different ids."""
+    seen, out = set(), {}
+    for i, text in sorted((r[0], (r[1] or "").encode()) for r in rows):
+        gone = bytearray(len(text))
+        for s in range(len(text) - length + 1):
+            w = text[s : s + length]
+            if w in seen:
+                gone[s : s + length] = b"\1" * length
+            seen.add(w)
+        runs = sum(1 for k, g in enumerate(gone) if g and (not k or not gone[k - 1]))
+        out[i] = (len(text), sum(gone), runs, sha(bytes(b for b, g in zip(text, gone) if not g)))
+    return out
+
+
+def model_scores(rows, discount=0.75):
+    """{id: (held out, tokens, known, N, base, score)} of rows with different ids, without quantisation."""
+    import math
+    import zlib
+    from collections import Counter
+
+    tokens = {r[0]: WORD.findall((r[1] or "").translate(FOLD)) + ["\0end"] for r in rows}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in tokens}
+    single, pairs, after, kinds = Counter(), Counter(), Counter(), Counter()
+    for i, w in tokens.items():
+        if not held[i]:
+            single.update(w)
+            pairs.update(zip(["\0begin", *w], w))
+    for (h, _), n in pairs.items():
+        after[h] += n
+        kinds[h] += 1
+    total = sum(single.values())
+    floor = total + 0.5 * (len(single) + 1)
+    out = {}
+    for i, w in tokens.items():
+        low = [(single[x] + 0.5) / floor for x in w]
+        score = 0.0
+        for h, x, u in zip(["\0begin", *w], w, low):
+            p = (max(pairs[h, x] - discount, 0) + discount * kinds[h] * u) / after[h] if after[h] else u
+            score += math.log10(p)
+        out[i] = (held[i], len(w), sum(single[x] > 0 for x in w), total, sum(map(math.log10, low)), score)
+    return out
