@@ -19,9 +19,23 @@ def join_list(values: Column, mark: str = " ") -> Column:
     return F.concat_ws(mark, values)
 
 
+# An entry of a list text, in single or double quotes, with backslash escapes.
+_ENTRY = r"""(?:'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+")"""
+_LIST = rf"(?s)^\s*\[\s*(?:{_ENTRY}\s*(?:,\s*{_ENTRY}\s*)*+,?\s*)?+\]\s*$"
+
+
 def parse_list_text(text: Column) -> Column:
-    """Array from list text such as ['a', 'b']."""
-    return F.from_json(F.translate(text, "'", '"'), "array<string>")
+    """Array from list text such as ['a', "O'Reilly"]; text of any other form is an error, null stays null."""
+
+    def entry(quoted: Column) -> Column:
+        inner = F.substr(quoted, F.lit(2), F.char_length(quoted) - 2)
+        for written, meant in (("n", "\n"), ("t", "\t"), ("r", "\r")):  # behind an even number of backslashes
+            inner = F.regexp_replace(inner, rf"(?<!\\)((?:\\\\)*+)\\{written}", "$1" + meant)
+        return F.regexp_replace(inner, r"(?s)\\(.)", "$1")
+
+    entries = F.transform(F.regexp_extract_all(text, F.lit(rf"(?s){_ENTRY}"), F.lit(0)), entry)
+    wrong = F.raise_error(F.concat(F.lit("not a list: "), F.substring(text, 1, 100))).cast("array<string>")
+    return F.when(text.isNull() | F.rlike(text, F.lit(_LIST)), entries).otherwise(wrong)
 
 
 def words(text: Column, pattern: str = WORD) -> Column:
@@ -44,16 +58,6 @@ def with_bigrams(tokens: Column) -> Column:
     return computed_once(tokens, build)
 
 
-def list_union(first: Column, second: Column) -> Column:
-    """Sorted set union of two lists; a missing second list adds nothing."""
-    return F.array_sort(F.array_union(first, F.coalesce(second, F.array().cast("array<string>"))))
-
-
-def list_concat(first: Column, second: Column) -> Column:
-    """The first list followed by the second; a missing second list adds nothing."""
-    return F.concat(first, F.coalesce(second, F.array().cast("array<string>")))
-
-
 def pad_left(ids: Column, length: int) -> Column:
     """The last `length` ids, with zeros in front of shorter lists."""
     ids = F.coalesce(ids, F.array().cast("array<bigint>"))

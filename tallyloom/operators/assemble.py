@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,27 +31,53 @@ def to_vector(df: DataFrame, columns: list[str], name: str = "features", keep: t
     return assembler.transform(df).select("uid", *keep, name)
 
 
-def hstack(blocks: dict[str, DataFrame], name: str = "features", how: str = "inner") -> DataFrame:
-    """Vectors of several blocks side by side: {vector column name: block with uid and that column}."""
-    joined = None
+def vector_size(df: DataFrame, column: str) -> int:
+    """Length of the vectors of a column, from its metadata or else from its first vector."""
+    known = df.schema[column].metadata.get("ml_attr", {}).get("num_attrs")
+    if known is not None:
+        return int(known)
+    first = df.where(F.col(column).isNotNull()).select(column).first()
+    return first[column].size if first else 0
+
+
+def zeros(size: int) -> Column:
+    """A vector of zeros."""
+    return array_to_vector(F.array_repeat(F.lit(0.0), size))
+
+
+def hstack(blocks: dict[str, DataFrame], name: str = "features", users: DataFrame | None = None) -> DataFrame:
+    """Vectors of several blocks side by side: {vector column name: block with uid and that column}.
+
+    Every user of `users` gets a row, or without it every user of any block. A block that
+    lacks a user gives zeros.
+    """
+    if users is None:
+        users = reduce(DataFrame.union, [b.select("uid") for b in blocks.values()])
+    joined = users.select("uid").distinct()
     for column, block in blocks.items():
-        block = block.select("uid", column)
-        joined = block if joined is None else joined.join(block, "uid", how)
+        size = vector_size(block, column)
+        joined = joined.join(block.select("uid", column), "uid", "left")
+        joined = joined.withColumn(column, F.coalesce(F.col(column), zeros(size)))
     return to_vector(joined, list(blocks), name)
 
 
+def slot_vector(df: DataFrame, column: str, size: int, name: str) -> DataFrame:
+    """(uid, vector) with a 1 in the 1-based slot that a column names; slot 0 gives zeros."""
+    flags = F.transform(F.sequence(F.lit(1), F.lit(size)), lambda k: F.when(F.col(column) == k, 1.0).otherwise(0.0))
+    return df.select("uid", array_to_vector(flags).alias(name))
+
+
 def sparse_block(rows: DataFrame, users: DataFrame, size: int, name: str = "features") -> DataFrame:
     """Rows (uid, slot, value) as one sparse vector of a given size per user.
 
     The vector is written in its storage form and read back as a vector, so no Python
-    code sees the rows. A user without rows gets a vector of zeros.
+    code sees the rows. A user without rows gets a vector of zeros; a slot out of range
+    is an error.
     """
-    cell = F.struct(F.col("slot").cast("int").alias("slot"), F.col("value").cast("double").alias("value"))
-    lists = (
-        rows.where((F.col("slot") >= 0) & (F.col("slot") < size))
-        .groupBy("uid")
-        .agg(F.array_sort(F.collect_list(cell)).alias("cells"))
-    )
+    wrong = F.raise_error(F.concat(F.lit(f"not a slot below {size}: "), F.col("slot").cast("string"))).cast("int")
+    slot = F.when((F.col("slot") >= 0) & (F.col("slot") < size), F.col("slot").cast("int")).otherwise(wrong)
+    cell = F.struct(slot.alias("slot"), F.col("value").cast("double").alias("value"))
+    lists = rows.groupBy("uid").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
     empty = F.array().cast("array<struct<slot:int,value:double>>")
     cells = F.coalesce(F.col("cells"), empty)
     stored = F.struct(

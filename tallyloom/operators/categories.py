@@ -10,8 +10,6 @@ from tallyloom.operators.clean import fill_category
 from tallyloom.operators.hot import lookup_join
 from tallyloom.operators.ranking import unique_categories
 
-MOST_VALUES = 1000  # columns a pivot may have
-
 
 def explode_installed(lists: DataFrame, mark: str = "#") -> DataFrame:
     """One row per user and installed app; empty entries are left out."""
@@ -30,14 +28,6 @@ def with_category(pairs: DataFrame, categories: DataFrame, order: str | None = N
     return fill_category(lookup_join(pairs, unique_categories(categories, order), "app"))
 
 
-def category_values(categories: DataFrame) -> list:
-    """The categories in sort order, for the columns of a pivot."""
-    rows = categories.select("category").distinct().limit(MOST_VALUES + 1).collect()
-    if len(rows) > MOST_VALUES:
-        raise ValueError(f"more than {MOST_VALUES} categories: use rows instead of columns")
-    return sorted(r["category"] for r in rows if r["category"] is not None)
-
-
 def category_nunique(apps: DataFrame) -> DataFrame:
     return apps.groupBy("uid").agg(F.count_distinct("category").alias("categories"))
 

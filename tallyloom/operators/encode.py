@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.categories import MOST_VALUES
 from tallyloom.operators.hot import lookup_join
 from tallyloom.operators.stats import dense_codes, with_codes
 
@@ -25,17 +24,6 @@ def one_hot(df: DataFrame, values: dict[str, list]) -> DataFrame:
     return df.withColumns(flags)
 
 
-def known_values(df: DataFrame, columns: list[str]) -> dict[str, list]:
-    """Distinct values of columns with few of them, for `one_hot`."""
-    found = {}
-    for c in columns:
-        rows = df.select(c).where(F.col(c).isNotNull()).distinct().limit(MOST_VALUES + 1).collect()
-        if len(rows) > MOST_VALUES:
-            raise ValueError(f"{c} has more than {MOST_VALUES} values: use ordinal codes")
-        found[c] = sorted(r[c] for r in rows)
-    return found
-
-
 def one_hot_selected(df: DataFrame, column: str, selected: DataFrame) -> DataFrame:
     """Add <column>_slot: the 1-based slot of a selected value, 0 for all other values.
 

@@ -11,9 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallyloom.session import BROADCAST_BYTES, GROUP_ROWS, KEY_LIST, SALTS, limit
+from tallyloom.session import GROUP_ROWS, KEY_LIST, limit
 from tallyloom.sources.stage import stage
 
 
@@ -42,8 +41,17 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
 
 
 def split_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary groups and rows of hot groups."""
-    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
+    """Rows of ordinary groups and rows of hot groups; a null key is a group too."""
+    return _on_group(df, hot, keys, "left_anti"), _on_group(df, hot, keys, "left_semi")
+
+
+def _on_group(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join in which null equals null; columns of the other table keep their names but for the keys."""
+    renamed = other.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    matched = F.lit(True)
+    for k in keys:
+        matched = matched & df[k].eqNullSafe(renamed[f"_key_{k}"])
+    return df.join(renamed, matched, how).drop(*[f"_key_{k}" for k in keys])
 
 
 def _sliced(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
@@ -56,7 +64,7 @@ def _sliced(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
 def running_total(df: DataFrame, group: list[str], order: list[Column], weight: Column, name: str) -> DataFrame:
     """Exact running sum of a weight in each group, with large groups cut into slices.
 
-    Group columns must not be null and the order must tell all rows of a group apart.
+    The order must tell all rows of a group apart; a null group is a group of its own.
     Only the first group of a slice can continue an earlier slice, so the table of
     carried sums never has more rows than there are slices.
     """
@@ -70,7 +78,7 @@ def running_total(df: DataFrame, group: list[str], order: list[Column], weight:
     )
     inside = Window.partitionBy(*group, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        sliced.join(F.broadcast(carried), [*group, "_slice"], "left")
+        _on_group(sliced, F.broadcast(carried), [*group, "_slice"], "left")
         .withColumn(name, F.sum(weight).over(inside) + F.coalesce(F.col("_carried"), F.lit(0)))
         .drop("_slice", "_carried")
     )
@@ -105,11 +113,11 @@ def last_known(
     ends = sliced.where(F.col(column).isNotNull()).groupBy(*group, "_slice").agg(
         F.max_by(column, F.struct(*order)).alias("_end")
     )
-    slices = sliced.select(*group, "_slice").distinct().join(ends, [*group, "_slice"], "left")
+    slices = _on_group(sliced.select(*group, "_slice").distinct(), ends, [*group, "_slice"], "left")
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = slices.withColumn("_carried", F.last("_end", ignorenulls=True).over(earlier)).drop("_end")
     heavy = (
-        sliced.join(F.broadcast(carried.where(F.col("_carried").isNotNull())), [*group, "_slice"], "left")
+        _on_group(sliced, F.broadcast(carried.where(F.col("_carried").isNotNull())), [*group, "_slice"], "left")
         .withColumn(name, F.coalesce(filled.over(inside), F.col("_carried")))
         .drop("_slice", "_carried")
     )
@@ -174,80 +182,18 @@ def grouped_with_medians(
     return light.unionByName(heavy.select(*light.columns))
 
 
-def salted_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    keys: list[str],
-    how: str,
-    weight: str | None = None,
-    sized_by: DataFrame | None = None,
-) -> DataFrame:
-    """Shuffle join in which hot keys of the facts are spread over copies of the lookup row.
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: str | list[str], how: str = "left") -> DataFrame:
+    """Join facts to a table with one row per key.
 
-    `weight` names a lookup column that holds the number of fact rows per key; without
-    it the keys are counted in the facts, or in a cheaper table with the same keys. The
-    salt is a hash of the whole row, so that a task that runs again makes the same rows.
-    Should the hot keys be too many to list, every key is salted.
+    Nothing is hinted: adaptive execution knows the true sizes, broadcasts a small lookup
+    and splits the hot keys of the facts otherwise.
     """
-    spark = facts.sparkSession
-    if weight is not None:
-        big = lookup.where(F.col(weight) > limit(spark, GROUP_ROWS)).select(*keys)
-    else:
-        big = _counted_keys((facts if sized_by is None else sized_by).dropna(subset=keys), keys)
-    hot, long = _listed(big)
-    if hot is None and not long:
-        return facts.join(lookup, keys, how)
-    salts = limit(spark, SALTS)
-    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    if long:
-        facts = facts.withColumn("_salt", salt)
-        lookup = lookup.withColumn("_salt", F.explode(every))
-    else:
-        marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-        facts = facts.join(marked, keys, "left")
-        facts = facts.withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))).drop("_hot")
-        copies = F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))
-        lookup = lookup.join(marked, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return facts.join(lookup, [*keys, "_salt"], how).drop("_salt")
-
-
-def _row_bytes(df: DataFrame) -> int:
-    """Rough size of a row in a broadcast table: the values and 16 bytes around them."""
-    return 16 + sum(24 if isinstance(f.dataType, T.StringType) else 8 for f in df.schema)
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    keys: str | list[str],
-    how: str = "left",
-    staged: bool = False,
-    weight: str | None = None,
-    rows: int | None = None,
-    sized_by: DataFrame | None = None,
-) -> DataFrame:
-    """Join facts to a table with unique keys: broadcast when its counted rows fit, salted otherwise.
-
-    The lookup is written to the shared folder first, so that counting it is cheap and
-    it is computed once. `staged` says that this has been done already, and `rows`
-    that it has been counted.
-    """
-    keys = [keys] if isinstance(keys, str) else keys
-    lookup = lookup if staged else stage(lookup)
-    rows = lookup.count() if rows is None else rows
-    if rows * _row_bytes(lookup) <= limit(facts.sparkSession, BROADCAST_BYTES):
-        return facts.join(F.broadcast(lookup), keys, how)
-    return salted_join(facts, lookup, keys, how, weight, sized_by)
+    return facts.join(lookup, keys, how)
 
 
-def lookup_parts(facts: DataFrame, table: DataFrame, part: str, joins: dict[str, tuple[str, DataFrame]]) -> DataFrame:
-    """Several lookups from the parts of one staged table: {part value: (key, lookup)}.
-
-    One count of the table serves all of them.
-    """
-    sizes = {r[part]: r["n"] for r in table.groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()}
+def lookup_parts(facts: DataFrame, joins: dict[str, tuple[str, DataFrame]]) -> DataFrame:
+    """Several lookups one after the other: {name: (key, lookup)}."""
     out = facts
-    for value, (key, lookup) in joins.items():
-        out = lookup_join(out, lookup, key, staged=True, rows=sizes.get(value, 0), sized_by=facts)
+    for key, lookup in joins.values():
+        out = lookup_join(out, lookup, key)
     return out

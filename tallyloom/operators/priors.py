@@ -73,7 +73,7 @@ def prior_backjoin(users: DataFrame, priors: DataFrame, attributes: list[str], c
         named = [F.col(c).alias(f"{a}_{c}") for c in cells]
         joins[a] = (f"_{a}", priors.where(F.col("attr") == a).select(F.col("value").alias(f"_{a}"), *named))
     users = users.withColumns({f"_{a}": F.col(a).cast("string") for a in attributes})
-    users = lookup_parts(users, priors, "attr", joins).drop(*[f"_{a}" for a in attributes])
+    users = lookup_parts(users, joins).drop(*[f"_{a}" for a in attributes])
     return users.na.fill(0, [f"{a}_{c}" for a in attributes for c in cells])
 
 
@@ -126,13 +126,13 @@ def class_weight_index(
         lambda a, b: a + b,
         [F.lit(10.0 * k) * F.col(f"share_{k}") / F.lit(b) for k, b in zip(classes, base)],
     )
-    weights = stage(priors.select("app", round_even(weight, 6).cast("decimal(18,6)").alias("weight")))
+    weights = priors.select("app", round_even(weight, 6).cast("decimal(18,6)").alias("weight"))
     return six_stats(
         pairs.select("uid", "app"),
         ["uid"],
         {"weight": "weight"},
         mean_squared=True,
-        enrich=lambda rows: lookup_join(rows, weights, "app", staged=True),
+        enrich=lambda rows: lookup_join(rows, weights, "app"),
     )
 
 
@@ -143,12 +143,10 @@ def prior_rollup(pairs: DataFrame, priors: DataFrame, classes: list[int], digits
     serves all classes.
     """
     exact = f"decimal(10,{digits})"
-    table = stage(
-        priors.select(
-            "app",
-            *[F.col(f"share_{k}").cast(exact).alias(f"share_{k}") for k in classes],
-            *[f"n_{k}" for k in classes],
-        )
+    table = priors.select(
+        "app",
+        *[F.col(f"share_{k}").cast(exact).alias(f"share_{k}") for k in classes],
+        *[f"n_{k}" for k in classes],
     )
     columns = {f"share_{k}": f"share_{k}" for k in classes} | {f"n_{k}": f"n_{k}" for k in classes}
     out = six_stats(
@@ -156,7 +154,7 @@ def prior_rollup(pairs: DataFrame, priors: DataFrame, classes: list[int], digits
         ["uid"],
         columns,
         mean_squared=True,
-        enrich=lambda rows: lookup_join(rows, table, "app", staged=True),
+        enrich=lambda rows: lookup_join(rows, table, "app"),
     )
     out = out.drop(*[f"n_{k}_mean_sq" for k in classes])
     for k in classes:

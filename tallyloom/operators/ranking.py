@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import truncate
-from tallyloom.operators.hot import lookup_join, rank_in_group
+from tallyloom.operators.hot import lookup_join, rank_in_group, running_total
 
 
 def unique_categories(categories: DataFrame, order: str | None = None) -> DataFrame:
@@ -91,6 +91,9 @@ def app_frequency(log: DataFrame) -> DataFrame:
 def most_used_apps(log: DataFrame, count: int = 100_000) -> DataFrame:
     """The `count` apps with the most log rows, ties to the lower app.
 
-    Every task keeps its own first `count` apps, so that many rows per task reach the last one.
+    Places come from a running count over range-partitioned slices, so no task sees
+    more than a slice, however large `count` is.
     """
-    return app_frequency(log).orderBy(F.col("uses").desc(), "app").limit(count)
+    order = [F.col("uses").desc(), F.col("app").asc_nulls_first()]
+    placed = running_total(app_frequency(log), [], order, F.lit(1).cast("long"), "_place")
+    return placed.where(F.col("_place") <= count).drop("_place")

@@ -111,7 +111,7 @@ def with_codes(df: DataFrame, columns: dict[str, str], start: int) -> DataFrame:
         for c in same:
             part = codes.where(F.col("attr") == c)
             joins[c] = (c, part.select(F.col("value").alias(c), F.col("code").alias(columns[c])))
-        out = lookup_parts(out, codes, "attr", joins)
+        out = lookup_parts(out, joins)
     return out
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import guarded_ratio, round_even, scaled_ratio, truncate
 from tallyloom.operators.stats import equal_width_bins, six_stats
+from tallyloom.sources.stage import stage
 
 # The eight weekend dates of the observed month.
 WEEKEND_DATES = (
@@ -55,6 +56,39 @@ def day_totals(log: DataFrame) -> DataFrame:
     )
 
 
+def daily_totals(log: DataFrame) -> DataFrame:
+    """One row per (uid, app, use_date), from which app totals and day totals both follow."""
+    return log.groupBy("uid", "app", "use_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("duration").alias("duration"), F.sum("times").alias("times")
+    )
+
+
+def app_totals_of(daily: DataFrame, weekend: Column | None = None) -> DataFrame:
+    """`app_totals` from daily totals."""
+    weekend = is_weekend() if weekend is None else weekend
+    rows = F.when(F.col("use_date").isNotNull(), F.col("rows")).otherwise(F.lit(0))
+
+    def inside(value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(weekend, value)), F.lit(0))
+
+    return daily.groupBy("uid", "app").agg(
+        F.sum(rows).alias("days"),
+        F.sum("duration").alias("duration"),
+        F.sum("times").alias("times"),
+        inside(F.col("rows")).alias("weekend_days"),
+        inside(F.col("duration")).alias("weekend_duration"),
+        inside(F.col("times")).alias("weekend_times"),
+    )
+
+
+def day_totals_of(daily: DataFrame) -> DataFrame:
+    """`day_totals` from daily totals."""
+    rows = F.when(F.col("app").isNotNull(), F.col("rows")).otherwise(F.lit(0))
+    return daily.groupBy("uid", "use_date").agg(
+        F.sum(rows).alias("apps"), F.sum("duration").alias("duration"), F.sum("times").alias("times")
+    )
+
+
 def user_app_nunique(log: DataFrame) -> DataFrame:
     return log.groupBy("uid").agg(F.count_distinct("app").alias("apps"))
 
@@ -112,8 +146,12 @@ def calendar(log: DataFrame, weekend: Column | None = None) -> tuple[Column, Col
 
 
 def usage_profile(log: DataFrame, days: int = 30, weekend: Column | None = None) -> DataFrame:
-    """The three profiles of `profile` over a log."""
-    return profile(app_totals(log, weekend), days, *calendar(log, weekend))
+    """The three profiles of `profile` over a log.
+
+    The log is read once, into daily totals, which are staged.
+    """
+    daily = stage(daily_totals(log))
+    return profile(app_totals_of(daily, weekend), days, *calendar(daily, weekend))
 
 
 def with_profile_bins(users: DataFrame) -> DataFrame:

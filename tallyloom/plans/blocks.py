@@ -28,8 +28,9 @@ def usage_block(
     need no further shuffle.
     """
     weekend = usage.is_weekend() if weekend is None else weekend
-    apps = stage(usage.app_totals(log, weekend))
-    by_day = stage(usage.day_totals(log))
+    daily = stage(usage.daily_totals(log))
+    apps = stage(usage.app_totals_of(daily, weekend))
+    by_day = stage(usage.day_totals_of(daily))
     categorised = categories.with_category(apps, app_categories)
     profile = usage.profile(apps, days, *usage.calendar(by_day, weekend))
     profile = usage.weekend_weekday_ratios(usage.with_profile_bins(profile))

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
 
 # Rows of one group that a single task may hold. Larger groups take the sliced plan.
 GROUP_ROWS = ("tallyloom.groupRows", 500_000)
-# Bytes of a lookup table that may be broadcast. Larger tables take the salted join.
-BROADCAST_BYTES = ("tallyloom.broadcastBytes", 256 * 1024 * 1024)
 # Hot keys that may be listed on the driver. A longer list stays a table.
 KEY_LIST = ("tallyloom.keyList", 10_000)
-# Copies of a lookup row for a hot key in a salted join.
-SALTS = ("tallyloom.salts", 64)
-
-_local_folder: str | None = None
 
 
 def limit(spark: SparkSession, setting: tuple[str, int]) -> int:
@@ -26,7 +22,9 @@ def limit(spark: SparkSession, setting: tuple[str, int]) -> int:
 
 
 def build_session(app: str, cores: int | str = "*", memory: str = "8g") -> SparkSession:
-    """Local session for tests and benchmarks; clusters bring their own."""
+    """Local session for tests and benchmarks, with a folder of its own for staged tables; clusters bring their own."""
+    folder = tempfile.mkdtemp(prefix="tallyloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     width = os.cpu_count() if cores == "*" else int(cores)
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -36,6 +34,7 @@ def build_session(app: str, cores: int | str = "*", memory: str = "8g") -> Spark
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", folder)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -45,13 +44,6 @@ def build_session(app: str, cores: int | str = "*", memory: str = "8g") -> Spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by the cluster in spark.checkpoint.dir."""
-    global _local_folder
+    """Folder every executor can reach: spark.checkpoint.dir, or else one in the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="tallyloom-")
-    return _local_folder
+    return (named or spark.conf.get("spark.sql.warehouse.dir") + "/_staged").rstrip("/")

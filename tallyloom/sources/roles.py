@@ -127,7 +127,10 @@ class Roles:
         return pairs.groupBy("uid").agg(F.concat_ws("#", F.array_sort(F.collect_list("app"))).alias("apps"))
 
     def attributes(self) -> DataFrame:
-        """Device attributes and behaviour counters of every user."""
+        """Device attributes and behaviour counters of every user.
+
+        A user without orders has counters of 0 and no device attributes but the city and gender.
+        """
         orders = self.table("orders")
         per_user = orders.groupBy(F.col("o_custkey").alias("uid")).agg(
             F.max_by("o_orderpriority", "o_orderkey").alias("model"),
@@ -148,8 +151,8 @@ class Roles:
             F.col("c_nationkey").cast("string").alias("city"),
             F.when(F.col("c_acctbal") >= 5000, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("gender"),
         )
-        joined = customers.join(per_user, "uid")
-        return joined.withColumn("f_sum", F.floor("traffic").cast("long")).drop("traffic")
+        joined = customers.join(per_user, "uid", "left").withColumn("f_sum", F.floor("traffic").cast("long"))
+        return joined.na.fill(0, ["boot_times", *COUNTERS, "f_sum"]).drop("traffic")
 
     def labelled_attributes(self) -> DataFrame:
         return self.attributes().join(self.labelled(), "uid")

@@ -33,10 +33,10 @@ from tallyloom.suite.registry import SQL, query, real, with_parts
     ),
 )
 def feature_assembly(r):
-    log = r.usage()
-    apps, by_day = r.kept("apps", lambda: usage.app_totals(log)), usage.day_totals(log)
+    daily = r.kept("daily", lambda: usage.daily_totals(r.usage()))
+    apps, by_day = r.kept("apps", lambda: usage.app_totals_of(daily)), usage.day_totals_of(daily)
     categorised = categories.with_category(apps, r.categories())
-    profile = usage.profile(apps, 30, *usage.calendar(log))
+    profile = usage.profile(apps, 30, *usage.calendar(daily))
     return assemble.assemble(
         profile.select("uid", *usage_queries.ALL_COLUMNS),
         [

@@ -90,9 +90,11 @@ PARTS = {
     "categorised": """SELECT t.*, coalesce(category, 'unknown') AS category
         FROM app_totals t LEFT JOIN app_category USING (app)""",
     "installed": "SELECT DISTINCT uid, p_name AS app FROM usage JOIN part ON app = p_partkey",
-    "attributes": f"""SELECT uid, CAST(c_nationkey AS VARCHAR) AS city,
-        {whole("CASE WHEN c_acctbal >= 5000 THEN 1 ELSE 0 END")} AS gender, o.* EXCLUDE (uid, traffic),
-        CAST(floor(traffic) AS BIGINT) AS f_sum
+    "attributes": f"""SELECT c_custkey AS uid, CAST(c_nationkey AS VARCHAR) AS city,
+        {whole("CASE WHEN c_acctbal >= 5000 THEN 1 ELSE 0 END")} AS gender,
+        o.* EXCLUDE (uid, traffic, boot_times, {", ".join(COUNTERS)}),
+        {", ".join(f"coalesce({c}, 0) AS {c}" for c in ["boot_times", *COUNTERS])},
+        coalesce(CAST(floor(traffic) AS BIGINT), 0) AS f_sum
         FROM (SELECT o_custkey AS uid, arg_max(o_orderpriority, o_orderkey) AS model,
           arg_min(o_orderstatus, o_orderkey) AS colour, arg_min(o_orderpriority, o_orderkey) AS network,
           arg_max(o_orderstatus, o_orderkey) AS carrier, month(min(o_orderdate)) AS font_size,
@@ -100,7 +102,7 @@ PARTS = {
           year(min(o_orderdate)) AS os, count(*) AS boot_times, {_counters},
           {whole("count(*) FILTER (o_orderstatus = 'F')")} AS f_times,
           {real("sum(CAST(o_totalprice AS DECIMAL(12,2)))")} / 250000.0 AS traffic
-          FROM orders GROUP BY o_custkey) o JOIN customer ON c_custkey = uid""",
+          FROM orders GROUP BY o_custkey) o RIGHT JOIN customer ON c_custkey = o.uid""",
     "labelled_attributes": "SELECT * FROM attributes JOIN labelled USING (uid)",
 }
 NEEDS = {

@@ -8,7 +8,7 @@ from tallyloom.plans import stacking
 from tallyloom.sources import tables
 from tallyloom.sources.stage import stage_path
 from tallyloom.suite import routing
-from tallyloom.suite.learning import _forest
+from tallyloom.suite.learning import WIDTH, _forest
 from tallyloom.suite.registry import SQL, query, real, with_parts
 
 _CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -57,17 +57,18 @@ def list_text(r):
 
 @query(
     "score_table",
-    """SELECT vec_id AS uid, round_even(CAST(embedding[1] AS DOUBLE), 6) AS p_0,
-    round_even(CAST(embedding[2] AS DOUBLE), 6) AS p_1 FROM embeddings""",
+    "SELECT vec_id AS uid, "
+    + ", ".join(f"round_even(CAST(embedding[{k + 1}] AS DOUBLE), 6) AS p_{k}" for k in range(WIDTH))
+    + " FROM embeddings",
 )
 def score_table(r):
-    """Scores of two classes in a file whose key column is not called uid."""
+    """Scores of many classes in a file whose key column is not called uid."""
     path = stage_path(r.spark, "csv")
-    scores = F.slice(F.col("embedding").cast("array<double>"), 1, 2).alias("scores")
+    scores = F.col("embedding").cast("array<double>").alias("scores")
     rows = r.table("embeddings").select(F.col("vec_id").cast("long").alias("uid"), scores)
-    tables.write_scores(rows, path, 2, key="index")
-    read = tables.read_scores(r.spark, path, 2)
-    cells = [round_even(F.col("scores").getItem(k), 6).alias(f"p_{k}") for k in range(2)]
+    tables.write_scores(rows, path, WIDTH, key="index")
+    read = tables.read_scores(r.spark, path, WIDTH)
+    cells = [round_even(F.col("scores").getItem(k), 6).alias(f"p_{k}") for k in range(WIDTH)]
     return read.select("uid", *cells)
 
 
@@ -78,21 +79,22 @@ _numbers = ["boot_times", "a_times", "f_sum"]
     "vector_block",
     with_parts(
         " UNION ALL ".join(
-            f"SELECT uid, CAST({i} AS BIGINT) AS slot, {real(c)} AS value FROM labelled_attributes WHERE {c} <> 0"
+            f"SELECT uid, CAST({i} AS BIGINT) AS slot, {real(c)} AS value FROM attributes WHERE {c} <> 0"
             for i, c in enumerate(_numbers)
         ),
-        "labelled_attributes",
+        "attributes",
     ),
 )
 def vector_block(r):
-    """Feature vectors of both splits written as one block; the train part is read back."""
+    """Feature vectors of both splits written as one block; both parts are read back."""
     path = stage_path(r.spark, "block")
     users = r.attributes()
     split = F.when(F.col("label").isNotNull(), F.lit("train")).otherwise(F.lit("test"))
     rows = users.join(r.labelled(), "uid", "left").withColumn("split", split)
     block = assemble.to_vector(rows, _numbers, keep=("split",)).withColumn("population", F.lit("full"))
     tables.write_block(block, path)
-    return assemble.vector_rows(tables.read_block(r.spark, path, "full", "train"))
+    parts = [tables.read_block(r.spark, path, "full", split) for split in ("train", "test")]
+    return assemble.vector_rows(parts[0].unionByName(parts[1]))
 
 
 @query("saved_models")

@@ -68,7 +68,7 @@ def compare(spark, con, name: str, folder: str, queries, sql) -> tuple[str, int]
     return "", sum(got.values())
 
 
-HOT = {"tallyloom.groupRows": "5", "tallyloom.broadcastBytes": "0", "tallyloom.salts": "3"}
+HOT = {"tallyloom.groupRows": "5"}
 
 
 def set_hot(spark, on: bool = True) -> None:

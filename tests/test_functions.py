@@ -60,10 +60,12 @@ def test_pad_left(spark, ids, expected):
     assert column(spark, [ids], lambda x: arrays.pad_left(x, 5), "array<bigint>") == [expected]
 
 
-def test_list_union_and_concat(spark):
-    rows = spark.createDataFrame([(["4"], None), (["b", "a"], ["c", "a"])], "a array<string>, b array<string>")
-    got = rows.select(arrays.list_union(F.col("a"), F.col("b")), arrays.list_concat(F.col("a"), F.col("b"))).collect()
-    assert [tuple(r) for r in got] == [(["4"], ["4"]), (["a", "b", "c"], ["b", "a", "c", "a"])]
+def test_list_text_with_quotes_and_escapes(spark):
+    lists = [["O'Reilly", "b"], ['say "x"', "b"], ["it's \"both\"", "back\\slash", "tab\tline\n", "\\n"], [], ["a, b]"]]
+    got = column(spark, [repr(x) for x in lists] + [None, "[ ]"], arrays.parse_list_text, "string")
+    assert got == [*lists, None, []]
+    with pytest.raises(Exception, match="not a list"):
+        column(spark, ["a, b"], arrays.parse_list_text, "string")
 
 
 def test_bigrams(spark):

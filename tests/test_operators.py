@@ -186,20 +186,64 @@ def test_hot_ranks_and_fills(spark, skewed):
 
 
 @pytest.mark.parametrize("key_list", ["10000", "1"])
-def test_salted_join(hot, skewed, key_list):
+def test_null_groups_are_split_like_others(hot, skewed, key_list):
     hot.conf.set("tallyloom.keyList", key_list)
     try:
-        lookup = hot.createDataFrame([(u, f"n{u}") for u in range(0, 30)], "uid int, name string")
-        facts = skewed.select("uid", "i").unionByName(hot.createDataFrame([(None, -1)], "uid int, i int"))
-        for how in ("left", "inner"):
-            got = hot_plans.lookup_join(facts, lookup, "uid", how)
-            assert rows_of(got.na.fill("-").na.fill(0)) == rows_of(facts.join(lookup, "uid", how).na.fill("-").na.fill(0))
-        ranked = hot_plans.rank_in_group(skewed, ["uid"], [F.col("i")], "rank")
+        rows = skewed.withColumn("uid", F.when(F.col("uid") > 1, F.col("uid")))  # most rows have a null uid
+        ranked = hot_plans.rank_in_group(rows, ["uid"], [F.col("i")], "rank")
+        assert ranked.count() == skewed.count()
         assert ranked.groupBy("uid").agg((F.max("rank") == F.count("*")).alias("ok")).where("not ok").count() == 0
+        filled = hot_plans.last_known(rows.withColumn("k", F.when(F.col("i") % 5 == 0, F.col("k"))), ["uid"], [F.col("i")], "k", "f")
+        assert filled.where("uid is null and f is null").count() < 20
     finally:
         hot.conf.unset("tallyloom.keyList")
 
 
+def test_hstack_keeps_every_user(spark):
+    a = assemble.to_vector(spark.createDataFrame([(1, 1.0), (2, 2.0)], "uid int, x double"), ["x"], "a")
+    b = assemble.to_vector(spark.createDataFrame([(1, 3.0, 4.0)], "uid int, y double, z double"), ["y", "z"], "b")
+    users = spark.createDataFrame([(1,), (2,), (3,)], "uid int")
+    got = {r["uid"]: list(r["features"].toArray()) for r in assemble.hstack({"a": a, "b": b}, users=users).collect()}
+    assert got == {1: [1.0, 3.0, 4.0], 2: [2.0, 0.0, 0.0], 3: [0.0, 0.0, 0.0]}
+    assert assemble.hstack({"a": a, "b": b}).count() == 2
+
+
+def test_sparse_block_refuses_slots_out_of_range(spark):
+    rows = spark.createDataFrame([(1, 3, 0.5), (1, 7, 1.0)], "uid int, slot int, value double")
+    with pytest.raises(Exception, match="not a slot"):
+        assemble.sparse_block(rows, rows, 4).collect()
+
+
+def test_selected_values_as_vectors(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "c"), (3, "x"), (4, None)], "uid int, v string")
+    slots = encode.one_hot_selected(rows, "v", spark.createDataFrame([("a",), ("c",)], "v string"))
+    got = {r["uid"]: list(r["f"].toArray()) for r in assemble.slot_vector(slots, "v_slot", 2, "f").collect()}
+    assert got == {1: [1.0, 0.0], 2: [0.0, 1.0], 3: [0.0, 0.0], 4: [0.0, 0.0]}
+
+
+def test_users_without_orders_keep_their_attributes(spark, tmp_path):
+    from tallyloom.sources.roles import Roles
+
+    folder = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    orders.where("o_custkey >= 5").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.read.parquet(f"{folder}/customer.parquet").write.parquet(f"{tmp_path}/customer.parquet")
+    users = Roles(spark, str(tmp_path)).attributes()
+    assert users.count() == spark.read.parquet(f"{folder}/customer.parquet").count()
+    alone = users.where("uid < 5").collect()
+    assert len(alone) == 5 and all(r["boot_times"] == r["f_sum"] == r["a_times"] == 0 and r["model"] is None for r in alone)
+
+
+def test_top_apps_of_any_number(spark):
+    from tallyloom.operators import ranking
+
+    log = spark.range(1000).select((F.col("id") % 37).alias("app"), F.lit(1).alias("use_date"))
+    want = sorted(((r["app"], r["uses"]) for r in ranking.app_frequency(log).collect()), key=lambda x: (-x[1], x[0]))
+    assert sorted(rows_of(ranking.most_used_apps(log, 20))) == sorted(want[:20])
+    plan = ranking.most_used_apps(log, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan
+
+
 class _Session:
     def __init__(self, settings):
         self.conf = settings
@@ -208,5 +252,4 @@ class _Session:
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == shared_folder(spark)
     assert shared_folder(_Session({"spark.checkpoint.dir": "hdfs://x/named/"})) == "hdfs://x/named"
-    with pytest.raises(RuntimeError):
-        shared_folder(_Session({"spark.master": "yarn"}))
+    assert shared_folder(_Session({"spark.sql.warehouse.dir": "hdfs://x/house"})) == "hdfs://x/house/_staged"
