@@ -84,15 +84,18 @@ class EliasFano:
         some = top > 0
         start[some] = self._zero(top[some] - 1) - (top[some] - 1)
         want = values & ((ONE << np.uint64(self.low_bits)) - ONE)
-        equal = np.zeros(len(values), bool)
-        open_ = np.flatnonzero(start < stop)
+        # halve the run of elements with the same high bits; contexts with many followers make long ones
+        end = stop.copy()
+        open_ = np.flatnonzero(start < end)
         while len(open_):
-            got = self._low(start[open_])
-            equal[open_] = got == want[open_]
-            below = got < want[open_]
-            start[open_[below]] += 1
-            open_ = open_[below]
-            open_ = open_[start[open_] < stop[open_]]
+            middle = (start[open_] + end[open_]) >> 1
+            below = self._low(middle) < want[open_]
+            start[open_[below]] = middle[below] + 1
+            end[open_[~below]] = middle[~below]
+            open_ = open_[start[open_] < end[open_]]
+        equal = np.zeros(len(values), bool)
+        inside = np.flatnonzero(start < stop)
+        equal[inside] = self._low(start[inside]) == want[inside]
         return start, equal
 
     def get(self, index: np.ndarray) -> np.ndarray:
