@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +39,10 @@ from tallyloom.llm.hashing import mix
 from tallyloom.sources.stage import stage
 
 LENGTH = 100
-KMER = 40
+KMER = 28
 SPREAD = LENGTH - KMER  # offsets of an anchor in its string: 0 to SPREAD
 SLICE = 1 << 20
+BATCH_BYTES = 8_000_000  # of text whose segments collapse together before the shuffle
 PRIME = 0x9E3779B97F4A7C15 | 1
 _inverse = pow(PRIME, -1, 2**64)
 
@@ -119,57 +121,114 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
 
-_NONE = np.zeros(0, np.int64)
-
-
-def _anchors(texts: DataFrame) -> DataFrame:
-    """(h, seg, doc, at): segments, and with h null those known to repeat an earlier one."""
+def _merged(doc, start, stop):
+    """Overlapping spans of a document as one."""
+    order = np.lexsort((start, doc))
+    doc, start, stop = doc[order], start[order], stop[order]
+    if not len(doc):
+        return doc, start, stop
+    new = np.append(True, doc[1:] != doc[:-1])
+    apart = np.cumsum(new) * (int(stop.max()) + 1)  # so that the furthest stop counts within a document only
+    reach = np.maximum.accumulate(stop + apart) - apart
+    new[1:] |= start[1:] > reach[:-1]
+    head = np.flatnonzero(new)
+    return doc[head], start[head], np.maximum.reduceat(stop, head)
+
+
+def _spans_of(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and stop of whole segments."""
+    first = at >> 16
+    return first, first + (at & 255) + LENGTH
+
+
+def _squeeze(columns) -> bytes:
+    """Columns of 64-bit numbers as compressed byte planes, with their length and size in front."""
+    planes = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), 8).T.tobytes() for c in columns)
+    return np.array([len(columns[0])], np.int64).tobytes() + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unsqueeze(raw: bytes, n_columns: int) -> list[np.ndarray]:
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    planes = np.frombuffer(pa.decompress(raw[8:], n * 8 * n_columns, codec="zstd", asbytes=True), np.uint8)
+    return [np.ascontiguousarray(x.T).view(np.int64).reshape(n) for x in planes.reshape(n_columns, 8, n)]
+
+
+_ROWS = pa.schema([("shard", pa.int32()), ("blob", pa.binary()), ("doc", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
+
+
+def _anchors(texts: DataFrame, shards: int) -> DataFrame:
+    """Per batch and shard a blob of segments, and the spans of those known to repeat an earlier one."""
+
+    def batch_rows(docs, raws):
+        found = [[], [], [], []]
+        for held in _pieces(raws):
+            data = np.frombuffer(b"".join(p for _, _, p in held), np.uint8)
+            sizes = np.array([len(p) for _, _, p in held], np.int64)
+            ends = np.cumsum(sizes)
+            first, last, anchor, h, seg = _segments(data, ends)
+            part = np.searchsorted(ends, first, "right")
+            shift = (np.array([at for _, at, _ in held], np.int64) - (ends - sizes))[part]
+            found[0].append(h.view(np.int64))
+            found[1].append(seg.view(np.int64))
+            found[2].append(docs[np.array([k for k, _, _ in held], np.int64)[part]])
+            found[3].append(_place(first + shift, anchor + shift, last + shift))
+        h, seg, doc, at, new, repeat = _collapse(*(np.concatenate(x) for x in found))
+        gone, start, stop = _merged(doc[repeat], *_spans_of(at[repeat]))
+        h, seg, doc, at = h[new], seg[new], doc[new], at[new]
+        shard = (h.view(np.uint64) % np.uint64(shards)).astype(np.int64)
+        order = np.lexsort((at, doc, shard))  # places in order compress well
+        cut = np.searchsorted(shard[order], np.arange(shards + 1))
+        used = np.flatnonzero(np.diff(cut))
+        blobs = [_squeeze([c[order[cut[k] : cut[k + 1]]] for c in (h, seg, doc, at)]) for k in used.tolist()]
+        none = lambda n, kind: pa.nulls(n, kind)
+        n, m = len(used), len(gone)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blobs, pa.binary()), *[none(n, pa.int64())] * 3], schema=_ROWS)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(gone % shards, pa.int32()), none(m, pa.binary()), pa.array(gone), pa.array(start), pa.array(stop)], schema=_ROWS
+        )
 
     def run(batches):
         for batch in batches:
             docs = batch.column("doc").to_numpy(zero_copy_only=False).astype(np.int64)
-            raws = [t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
-            found = [[], [], [], []]
-            for held in _pieces(raws):
-                data = np.frombuffer(b"".join(p for _, _, p in held), np.uint8)
-                ends = np.cumsum([len(p) for _, _, p in held])
-                first, last, anchor, h, seg = _segments(data, ends)
-                part = np.searchsorted(ends, first, "right")
-                shift = np.array([at for _, at, _ in held], np.int64) - (ends - np.array([len(p) for _, _, p in held]))
-                shift = shift[part]
-                found[0].append(h.view(np.int64))
-                found[1].append(seg.view(np.int64))
-                found[2].append(docs[np.array([k for k, _, _ in held], np.int64)[part]])
-                found[3].append(_place(first + shift, anchor + shift, last + shift))
-            if not found[0]:
-                continue
-            h, seg, doc, at, new, repeat = _collapse(*(np.concatenate(x) for x in found))
-            keep = new | repeat
-            h, seg, doc, at, repeat = h[keep], seg[keep], doc[keep], at[keep], repeat[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(h, mask=repeat), pa.array(seg, mask=repeat), pa.array(doc), pa.array(at)], ["h", "seg", "doc", "at"])
-
-    return texts.mapInArrow(run, "h long, seg long, doc long, at long")
-
-
-def _whole_partition(batches, names):
-    """Columns of all batches of a partition as arrays."""
-    parts = [[b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names] for b in batches if b.num_rows]
-    return [np.concatenate(x) for x in zip(*parts)] if parts else [_NONE] * len(names)
+            texts = batch.column("text")
+            begin = size = 0
+            for k, n in enumerate(pa.compute.binary_length(texts).to_pylist()):
+                size += n
+                if size >= BATCH_BYTES or k + 1 == len(docs):
+                    raws = [t.encode("utf-8", "surrogatepass") for t in texts[begin : k + 1].to_pylist()]
+                    yield from batch_rows(docs[begin : k + 1], raws)
+                    begin, size = k + 1, 0
+
+    return texts.mapInArrow(run, "shard int, blob binary, doc long, start long, stop long")
 
 
 def _first_contents(anchors: DataFrame) -> DataFrame:
-    """Per shard: segments that repeat an earlier one (h null), and those whose text must be compared."""
+    """Per shard: spans of segments that repeat an earlier one, and (h, doc, at) of those whose text must be compared."""
 
     def run(batches):
-        h, seg, doc, at, new, repeat = _collapse(*_whole_partition(batches, ("h", "seg", "doc", "at")))
-        if not len(h):
-            return
-        head = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-        several = np.repeat(np.add.reduceat(new.astype(np.int64), head) > 1, np.diff(np.append(head, len(h))))
-        keep = repeat | (new & several)
-        yield pa.RecordBatch.from_arrays([pa.array(h[keep], mask=repeat[keep]), pa.array(doc[keep]), pa.array(at[keep])], ["h", "doc", "at"])
+        parts, spans = [], []
+        for batch in batches:
+            blob = batch.column("blob")
+            parts += [_unsqueeze(b, 4) for b in blob.drop_null().to_pylist()]
+            rest = batch.filter(blob.is_null())
+            spans.append([rest.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc", "start", "stop")])
+        if parts:
+            h, seg, doc, at, new, repeat = _collapse(*(np.concatenate(x) for x in zip(*parts)))
+            del parts
+            head = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            several = np.repeat(np.add.reduceat(new.astype(np.int64), head) > 1, np.diff(np.append(head, len(h))))
+            spans.append([doc[repeat], *_spans_of(at[repeat])])
+            keep = new & several
+            h, doc, at = h[keep], doc[keep], at[keep]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h), pa.array(doc), pa.array(at), *[pa.nulls(len(h), pa.int64())] * 2], ["h", "doc", "at", "start", "stop"]
+            )
+        if spans:
+            doc, start, stop = _merged(*(np.concatenate(x) for x in zip(*spans)))
+            none = pa.nulls(len(doc), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(doc), none, pa.array(start), pa.array(stop)], ["h", "doc", "at", "start", "stop"])
 
-    return anchors.where("h is not null").repartition("h").mapInArrow(run, "h long, doc long, at long")
+    return anchors.repartition("shard").mapInArrow(run, "h long, doc long, at long, start long, stop long")
 
 
 def repeated_strings(symbols: np.ndarray) -> np.ndarray:
@@ -240,33 +299,55 @@ def _compared(segments: DataFrame) -> DataFrame:
     return segments.repartition("h").mapInArrow(run, "doc long, start long, stop long")
 
 
-def repeated_spans(texts: DataFrame) -> DataFrame:
-    """(doc, start, stop) in bytes, overlapping, of all strings that start earlier too. texts: (doc, text)."""
-    anchors = stage(_anchors(texts))
-    firsts = stage(_first_contents(anchors))
-    wanted = firsts.where("h is not null").groupBy("doc").agg(F.collect_list(F.struct("h", "at")).alias("wanted"))
+def _packed(keyed: DataFrame) -> DataFrame:
+    """(doc, doc_id, size, data): texts as compressed UTF-8, for a shuffle that moves less."""
 
-    def cut(batches):
+    def run(batches):
         for batch in batches:
-            rows = batch.column("wanted").to_pylist()
             raws = [t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
-            h, doc, at, parts = [], [], [], []
-            for d, raw, places in zip(batch.column("doc").to_pylist(), raws, rows):
-                for p in places:
-                    first, strings = p["at"] >> 16, p["at"] & 255
-                    h.append(p["h"])
-                    doc.append(d)
-                    at.append(p["at"])
-                    parts.append(raw[first : first + strings + LENGTH])
+            data = [pa.compress(r, codec="zstd", asbytes=True) for r in raws]
+            sizes = pa.array([len(r) for r in raws], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h, pa.int64()), pa.array(doc, pa.int64()), pa.array(at, pa.int64()), pa.array(parts, pa.binary())],
-                ["h", "doc", "at", "bytes"],
+                [batch.column("doc"), batch.column("doc_id"), sizes, pa.array(data, pa.binary())], ["doc", "doc_id", "size", "data"]
             )
 
-    segments = texts.join(wanted, "doc").mapInArrow(cut, "h long, doc long, at long, bytes binary")
-    start = F.shiftright("at", 16)
-    whole = anchors.where("h is null").select("doc", "at").unionByName(firsts.where("h is null").select("doc", "at"))
-    whole = whole.select("doc", start.alias("start"), (start + F.col("at").bitwiseAND(255) + LENGTH).alias("stop"))
+    return keyed.mapInArrow(run, "doc long, doc_id long, size long, data binary")
+
+
+def _texts_and(batch, column: str, *fields: str):
+    """Raw text of each row with the entries of a list column of structs, as arrays."""
+    lists = batch.column(column)
+    inner = lists.flatten()
+    arrays = [inner.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in fields]
+    counts = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(counts)
+    for k, (size, data) in enumerate(zip(batch.column("size").to_pylist(), batch.column("data").to_pylist())):
+        raw = pa.decompress(data, size, codec="zstd", asbytes=True) if size else b""
+        yield k, raw, [a[ends[k] - counts[k] : ends[k]] for a in arrays]
+
+
+def repeated_spans(keyed: DataFrame) -> DataFrame:
+    """(doc, start, stop) in bytes, overlapping, of all strings that start earlier too. keyed: (doc, doc_id, text)."""
+    shards = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    firsts = stage(_first_contents(_anchors(keyed.select("doc", "text"), shards)))
+    wanted = firsts.where("h is not null").groupBy("doc").agg(F.collect_list(F.struct("h", "at")).alias("wanted"))
+
+    def cut(batches):
+        for batch in batches:
+            docs = batch.column("doc").to_numpy(zero_copy_only=False).astype(np.int64)
+            h, doc, at, parts = [], [], [], []
+            for k, raw, (shard, place) in _texts_and(batch, "wanted", "h", "at"):
+                h.append(shard)
+                at.append(place)
+                doc.append(np.full(len(place), docs[k]))
+                parts += [raw[a:b] for a, b in zip(*(x.tolist() for x in _spans_of(place)))]
+            if parts:
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array(np.concatenate(x)) for x in (h, doc, at)], pa.array(parts, pa.binary())], ["h", "doc", "at", "bytes"]
+                )
+
+    segments = _packed(keyed).join(wanted.hint("merge"), "doc").mapInArrow(cut, "h long, doc long, at long, bytes binary")
+    whole = firsts.where("h is null").select("doc", "start", "stop")
     return whole.unionByName(_compared(segments))
 
 
@@ -275,36 +356,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = text_of(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     unnamed = F.lit(2**62) + F.pmod(F.xxhash64("text"), F.lit(2**61))
     keyed = texts.select(F.coalesce("doc_id", unnamed).alias("doc"), "doc_id", "text")
-    spans = repeated_spans(keyed.select("doc", "text"))
-    marked = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    marked = repeated_spans(keyed).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
     def strip(batches):
         for batch in batches:
-            raws = [t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
-            removed, runs, kept = [], [], []
-            for raw, spans in zip(raws, batch.column("spans").to_pylist()):
-                parts, end, gone, n = [], 0, 0, 0
-                for a, b in sorted((s["start"], s["stop"]) for s in spans or ()):
-                    if a > end or not n:
-                        parts.append(raw[end:a])
-                        n += 1
-                        gone += b - a
-                    elif b > end:
-                        gone += b - end
-                    end = max(end, b)
-                parts.append(raw[end:])
-                removed.append(gone)
-                runs.append(n)
-                kept.append(b"".join(parts))
+            size, removed, runs, kept = [], [], [], []
+            for _, raw, (start, stop) in _texts_and(batch, "spans", "start", "stop"):
+                _, start, stop = _merged(np.zeros(len(start), np.int64), start, stop)
+                size.append(len(raw))
+                removed.append(int((stop - start).sum()))
+                runs.append(len(start))
+                kept.append(b"".join(raw[a:b] for a, b in zip([0, *stop.tolist()], [*start.tolist(), len(raw)])))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), pa.array([len(r) for r in raws], pa.int64()), pa.array(removed, pa.int64()),
-                    pa.array(runs, pa.int64()), pa.array(kept, pa.binary()),
-                ],
+                [batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in (size, removed, runs)], pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    return keyed.join(marked, "doc", "left").select("doc_id", "text", "spans").mapInArrow(
+    return _packed(keyed).join(marked.hint("merge"), "doc", "left").select("doc_id", "size", "data", "spans").mapInArrow(
         strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
 
