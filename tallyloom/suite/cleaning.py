@@ -6,7 +6,7 @@ from tallyloom.functions.numeric import round_even
 from tallyloom.operators import attributes, clean, stats, usage
 from tallyloom.operators.sequence import copies_by_duration
 from tallyloom.sources.roles import COUNTERS, CROSSES
-from tallyloom.suite.registry import binned, query, real, rounded, whole, with_parts
+from tallyloom.suite.registry import cross, binned, query, real, rounded, whole, with_parts
 
 SPEND_CUTS = [27000, 53000, 80000]  # near the quartiles of the spend per customer and part
 
@@ -145,7 +145,7 @@ def equal_width_bin(r):
 @query(
     "cross_feature",
     with_parts(
-        "SELECT uid, " + ", ".join(f"concat_ws('_', {', '.join(c)}) AS {n}" for n, c in CROSSES.items())
+        "SELECT uid, " + ", ".join(f"{cross(c)} AS {n}" for n, c in CROSSES.items())
         + " FROM attributes",
         "attributes",
     ),

@@ -6,7 +6,7 @@ from tallyloom.functions.numeric import round_even
 from tallyloom.operators import attributes, encode
 from tallyloom.sources.roles import ATTRIBUTES, COUNTERS, CROSSES, PRIORITIES
 from tallyloom.suite import priors as prior_queries
-from tallyloom.suite.registry import query, rounded, whole, with_parts
+from tallyloom.suite.registry import cross, query, rounded, whole, with_parts
 
 _CODED = [*ATTRIBUTES, *CROSSES]
 
@@ -17,7 +17,7 @@ _CODED = [*ATTRIBUTES, *CROSSES]
         "SELECT uid, " + ", ".join(f"dense_rank() OVER (ORDER BY {c}) - 1 AS {c}_code" for c in _CODED) + " FROM crossed",
         "attributes",
         crossed="SELECT *, "
-        + ", ".join(f"concat_ws('_', {', '.join(c)}) AS {n}" for n, c in CROSSES.items())
+        + ", ".join(f"{cross(c)} AS {n}" for n, c in CROSSES.items())
         + " FROM attributes",
     ),
 )
@@ -49,7 +49,7 @@ def one_hot(r):
     "one_hot_selected",
     with_parts(
         """SELECT uid, model_colour_font, coalesce(slot, 0) AS model_colour_font_slot FROM
-        (SELECT uid, concat_ws('_', model, colour, font_size) AS model_colour_font FROM attributes)
+        (SELECT uid, model || '_' || colour || '_' || CAST(font_size AS VARCHAR) AS model_colour_font FROM attributes)
         LEFT JOIN (SELECT model_colour_font, row_number() OVER (ORDER BY model_colour_font) AS slot FROM s)
         USING (model_colour_font)""",
         "labelled_attributes",

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import round_even
-from tallyloom.operators import assemble, categories, learn, population, usage
-from tallyloom.plans import pipeline, stacking
+from tallyloom.operators import assemble, learn, population, priors
+from tallyloom.plans import blocks, pipeline, stacking
 from tallyloom.sources.roles import CLASSES as USER_CLASSES
-from tallyloom.sources.roles import COUNTERS, PART_TYPES
+from tallyloom.sources.roles import ATTRIBUTES, COUNTERS, CROSSES, PART_TYPES, PRIORITIES
+from tallyloom.sources.stage import stage
 from tallyloom.suite.registry import query
 
 CLASSES = 10
@@ -81,23 +82,73 @@ def stacked_scores(r):
     return _wide(learn.out_of_fold(slim, learn.fit_folds(slim, _forest)), "label", "fold")
 
 
+def _user_classifier(width: int):
+    return learn.perceptron(width, len(USER_CLASSES), hidden=(16,), rounds=20)
+
+
+# Bounds of selected crosses that suit the size of the driver tables; the shares are fixed values.
+_RULES = {n: (shares[: len(USER_CLASSES)], 3, 12) for n, (shares, _, _) in priors.CROSS_RULES.items()}
+_SUPPORT = 5
+
+
+def user_blocks(r) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The blocks that every user has, and the one of the usage log."""
+    users, labelled = r.attributes(), r.labelled()
+    flags = {"network": PRIORITIES, "carrier": ["F", "O", "P"]}
+    base = blocks.base_block(users, labelled, USER_CLASSES, ATTRIBUTES, COUNTERS, CROSSES, flags)
+    installed = blocks.installed_block(
+        r.installed_pairs(), r.name_categories(), labelled, USER_CLASSES, PART_TYPES, support=_SUPPORT, order="place"
+    )
+    everyone = {
+        "base": blocks.number_block(base, "base"),
+        "installed": blocks.number_block(installed, "installed"),
+        "tokens": blocks.token_block(r.installed_pairs(), users),
+        **blocks.selected_flags(users, labelled, USER_CLASSES, CROSSES, _RULES),
+    }
+    log = blocks.usage_block(
+        r.usage(), r.categories(), labelled, USER_CLASSES, PART_TYPES, support=_SUPPORT, top=200
+    )
+    return everyone, blocks.number_block(log, "usage")
+
+
 @query("stacked_labels")
 def stacked_labels(r):
-    """The whole run on the users: two populations, stacked scores of each, routed labels."""
+    """The whole run on the users: all blocks, two populations, two base models, stacked scores, routed labels."""
     labelled, unlabelled, log = r.labelled(), r.unlabelled(), r.month_log()
-    base = assemble.to_vector(r.attributes(), ["boot_times", *COUNTERS, "f_sum", "gender"], "base")
-    categorised = categories.with_category(usage.app_totals(r.usage()), r.categories())
-    counts = assemble.to_vector(
-        categories.category_counts(categorised, PART_TYPES), [f"n_{v}" for v in PART_TYPES], "counts"
-    )
-    month = usage.user_usage_totals(usage.day_totals(log))
-    month = assemble.to_vector(month, ["use_days", "duration", "times"], "month")
-    full, with_usage = {"base": base, "counts": counts}, {"base": base, "counts": counts, "month": month}
+    everyone, log_block = user_blocks(r)
     scores = []
-    for blocks, train, rest in (
-        (full, labelled, unlabelled),
-        (with_usage, population.present_in(labelled, log), population.present_in(unlabelled, log)),
+    for parts, train, rest in (
+        (everyone, labelled, unlabelled),
+        ({**everyone, "usage": log_block}, population.present_in(labelled, log), population.present_in(unlabelled, log)),
     ):
-        bases = {"forest": _forest}
-        scores.append(pipeline.population_scores(blocks, train, rest, bases, _forest, len(USER_CLASSES), folds=2)[1])
+        parts = {name: stage(block) for name, block in parts.items()}
+        width = sum(assemble.vector_size(block, name) for name, block in parts.items())
+        bases = {"forest": _forest, "dense": lambda width=width: _user_classifier(width)}
+        scores.append(pipeline.population_scores(parts, train, rest, bases, _forest, len(USER_CLASSES))[1])
     return pipeline.final_labels(scores[0], scores[1], unlabelled, log)
+
+
+@query("base_block")
+def base_block(r):
+    """Numbers of the attribute block, rounded."""
+    flags = {"network": PRIORITIES, "carrier": ["F", "O", "P"]}
+    return _rounded(blocks.base_block(r.attributes(), r.labelled(), USER_CLASSES, ATTRIBUTES, COUNTERS, CROSSES, flags))
+
+
+@query("installed_block")
+def installed_block(r):
+    pairs, names = r.installed_pairs(), r.name_categories()
+    return _rounded(
+        blocks.installed_block(pairs, names, r.labelled(), USER_CLASSES, PART_TYPES, support=_SUPPORT, order="place")
+    )
+
+
+@query("usage_block")
+def usage_block(r):
+    return _rounded(
+        blocks.usage_block(r.usage(), r.categories(), r.labelled(), USER_CLASSES, PART_TYPES, support=_SUPPORT, top=200)
+    )
+
+
+def _rounded(block: DataFrame) -> DataFrame:
+    return block.withColumns({c: round_even(F.col(c), 6) for c, t in block.dtypes if t == "double"})

@@ -63,6 +63,11 @@ def stats(column: str, prefix: str, digits: int, var_digits: int | None = None)
     )
 
 
+def cross(columns: list[str]) -> str:
+    """Joined text of columns, null if one of them is."""
+    return " || '_' || ".join(f"CAST({c} AS VARCHAR)" for c in columns)
+
+
 _counters = ", ".join(
     f"{whole(f"count(*) FILTER (o_orderpriority = '{p}')")} AS {c}" for c, p in zip(COUNTERS, PRIORITIES)
 )
