@@ -38,6 +38,8 @@ FOLDS, HELD_OUT = 5, 1
 # Hashes of the marks at the two ends of a text.
 BEGIN, END = np.uint64(0x0B0B0B0B0B0B0B0B), np.uint64(0x0E0E0E0E0E0E0E0E)
 KEY = np.uint64(2**48 - 1)
+# A context is frequent from this share of all words on; the parts it is cut into.
+FREQUENT, SPLIT = 1000, 16
 
 
 def squeeze(a: np.ndarray) -> bytes:
@@ -67,11 +69,13 @@ def unpack(raw: bytes, *kinds) -> list[np.ndarray]:
 
 
 def _batches(texts: DataFrame) -> DataFrame:
-    """(batch, docs, held, sizes, words, ids): documents as ids into the words of the batch, most frequent first.
+    """(batch, docs, held, blob, tokens, top): documents as ids into the words of the batch, most frequent first.
 
     A batch gets a random number: the table is written once, and only whole tasks enter it.
     """
 
+    top = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
+
     def row(ids, held, texts):
         parts = [word_hashes(texts[a:b]) for a, b in chunks(texts)]
         stream, sizes = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
@@ -82,9 +86,10 @@ def _batches(texts: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([uuid.uuid4().int >> 65]), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),
-                pa.array([pack(sizes, words[order], rank[place])], pa.binary()),
+                pa.array([pack(sizes, words[order], rank[place])], pa.binary()), pa.array([len(stream)]),
+                pa.array([[(int(words[k].view(np.int64)), int(count[k])) for k in order[: int((count * FREQUENT >= len(stream)).sum())]]], top),
             ],
-            ["batch", "docs", "held", "blob"],
+            ["batch", "docs", "held", "blob", "tokens", "top"],
         )
 
     def run(batches):
@@ -101,15 +106,18 @@ def _batches(texts: DataFrame) -> DataFrame:
         if ids:
             yield row(ids, held, texts)
 
-    return texts.mapInArrow(run, "batch long, docs array<long>, held array<boolean>, blob binary")
+    return texts.mapInArrow(run, "batch long, docs array<long>, held array<boolean>, blob binary, tokens long, top array<struct<word:bigint,n:bigint>>")
 
 
 class Asked:
-    """What a batch asks of the shards, in a fixed order: by shard, context and follower."""
+    """What a batch asks of the shards, in a fixed order: by shard, context and follower.
+
+    Every word is a context, a frequent one as SPLIT more; `word_of` tells the word of each.
+    """
 
-    def __init__(self, blob: bytes, held: list[bool], shards: int):
+    def __init__(self, blob: bytes, held: list[bool], shards: int, frequent: np.ndarray):
         sizes, words, ids = unpack(blob, np.int64, np.uint64, np.uint32)
-        self.hashes = np.append(words, [END, BEGIN])
+        hashes = np.append(words, [END, BEGIN])
         self.sizes = sizes
         m = len(words)
         n = len(ids) + 2 * len(sizes)
@@ -120,41 +128,49 @@ class Asked:
         inner[self.heads] = inner[self.heads + sizes + 1] = False
         seq[inner] = ids
         seq[self.heads], seq[self.heads + sizes + 1] = m + 1, m
-        shard = (mix(self.hashes) % np.uint64(shards)).astype(np.int64)
-        order = np.lexsort((self.hashes, shard))
-        self.rank = np.empty(m + 2, np.int64)
-        self.rank[order] = np.arange(m + 2)
-        self.shard, self.sorted = shard[order], self.hashes[order]
-        keys = self.hashes & KEY
-        by_key = np.argsort(keys, kind="stable")
+        self.seq = seq
+        cut = np.flatnonzero(np.isin(hashes, frequent))
+        part = np.full(m + 2, -1)
+        part[cut] = m + 2 + np.arange(len(cut)) * SPLIT
+        word = np.concatenate([np.arange(m + 2), np.repeat(cut, SPLIT)])
+        marks = mix(np.arange(1, SPLIT + 1, dtype=np.uint64))
+        keys = np.concatenate([hashes, mix(np.repeat(hashes[cut], SPLIT) ^ np.tile(marks, len(cut)))])
+        shard = (mix(keys) % np.uint64(shards)).astype(np.int64)
+        order = np.lexsort((keys, shard))
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.arange(len(keys))
+        self.shard, self.sorted, self.word_of, self.home = shard[order], keys[order], word[order], place[: m + 2]
+        short = hashes & KEY
+        by_key = np.argsort(short, kind="stable")
         follower = np.empty(m + 2, np.int64)
         follower[by_key] = np.arange(m + 2)
-        self.seq = self.rank[seq]
         last = np.zeros(n, bool)
         last[self.heads + sizes + 1] = True
         at = np.flatnonzero(~last)
-        pair = self.seq[at] << 32 | follower[seq[at + 1]]
-        self.pairs, self.pair_of = np.unique(pair, return_inverse=True)
+        context, after = seq[at], seq[at + 1]
+        side = (mix(hashes) % np.uint64(SPLIT)).astype(np.int64)
+        unit = place[np.where(part[context] < 0, context, part[context] + side[after])]
+        self.pairs, self.pair_of = np.unique(unit << 32 | follower[after], return_inverse=True)
         self.pair_context = self.pairs >> 32
-        self.pair_key = keys[by_key][self.pairs & 0xFFFFFFFF]
+        self.pair_key = short[by_key][self.pairs & 0xFFFFFFFF]
         self.training = np.repeat(~np.array(held, bool), sizes + 2)
         self.at = at
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Training counts of words and of pairs; BEGIN is no word."""
-        words = np.bincount(self.seq[self.training], minlength=len(self.sorted))
-        words[self.rank[-1]] = 0
+        words = np.bincount(self.home[self.seq[self.training]], minlength=len(self.sorted))
+        words[self.home[-1]] = 0
         pairs = np.bincount(self.pair_of[self.training[self.at]], minlength=len(self.pairs))
         return words, pairs
 
 
-def _requests(batches: DataFrame, shards: int) -> DataFrame:
+def _requests(batches: DataFrame, shards: int, frequent: np.ndarray) -> DataFrame:
     """(shard, batch, asked): contexts, their counts and number of followers, followers and their counts."""
 
     def run(rows):
         for part in rows:
             for name, held, blob in zip(*(part.column(c).to_pylist() for c in ("batch", "held", "blob"))):
-                asked = Asked(blob, held, shards)
+                asked = Asked(blob, held, shards, frequent)
                 words, pairs = asked.counts()
                 fan = np.bincount(asked.pair_context, minlength=len(words))
                 cut = np.searchsorted(asked.shard, np.arange(shards + 1))
@@ -194,6 +210,7 @@ def _answers(requests: DataFrame) -> DataFrame:
         context, key, seen = context[order], key[order], seen[order]
         head = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
         total = np.add.reduceat(seen, head) if len(head) else seen
+        followed = np.bincount(np.searchsorted(hashes, context[head]), total, len(hashes)).astype(np.int64)
         with tempfile.TemporaryFile() as file:  # unlinked at once; pages of the task only
             trie = Trie.map(file, Trie.write(Trie.build(context[head], key[head], total, DISCOUNT), file))
             tables = np.concatenate([trie.table, trie.rest_table])
@@ -202,9 +219,9 @@ def _answers(requests: DataFrame) -> DataFrame:
                 rank, known = trie.context(a[0])
                 fan = a[2].astype(np.int64)
                 codes = trie.probability(np.repeat(rank, fan), np.repeat(known, fan), k)
-                counts = count[place[at : at + len(a[0])]]
+                own = place[at : at + len(a[0])]
                 at += len(a[0])
-                yield shard, name, pack(counts, trie.left_over(rank, known), codes, tables), None, None
+                yield shard, name, pack(count[own], followed[own], trie.left_over(rank, known), codes, tables), None, None
         yield shard, None, None, int(count.sum()), int((count > 0).sum())
 
     def run(batches):
@@ -230,22 +247,27 @@ def _answers(requests: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "shard int, batch long, answer binary, tokens long, words long")
 
 
-def _scores(batches: DataFrame, answers: DataFrame, shards: int, tokens: int, words: int) -> DataFrame:
+def _scores(batches: DataFrame, answers: DataFrame, shards: int, frequent: np.ndarray, tokens: int, words: int) -> DataFrame:
     floor = tokens + 0.5 * (words + 1)
 
     def scored(docs, held, blob, replies):
-        asked = Asked(blob, held, shards)
-        parts = [unpack(r, np.int64, np.uint8, np.uint8, np.float64) for _, r in sorted(replies, key=lambda x: x[0])]
-        count = np.concatenate([p[0] for p in parts])
-        rest = np.concatenate([p[3][256:][p[1]] for p in parts])
-        share = np.concatenate([p[3][:256][p[2]] for p in parts])
-        known = np.concatenate([p[1] for p in parts]) > 0
+        asked = Asked(blob, held, shards, frequent)
+        kinds = (np.int64, np.int64, np.uint8, np.uint8, np.float64)
+        parts = [unpack(r, *kinds) for _, r in sorted(replies, key=lambda x: x[0])]
+        count = np.concatenate([p[0] for p in parts])[asked.home]
+        followed = np.concatenate([p[1] for p in parts]).astype(np.float64)
+        rest = np.concatenate([p[4][256:][p[2]] for p in parts])
+        share = np.concatenate([p[4][:256][p[3]] for p in parts])
+        # the parts of a frequent context weigh as often as they were followed
+        whole = np.bincount(asked.word_of, followed, len(count))
+        weight = followed / np.maximum(whole[asked.word_of], 1)
+        rest = np.bincount(asked.word_of, rest * weight, len(count))
+        share = share * weight[asked.pair_context]
         single = (count + 0.5) / floor
         # per pair in the stream: the word, and what its context says about it
-        word = asked.seq[asked.at + 1]
-        context = asked.seq[asked.at]
+        word, context = asked.seq[asked.at + 1], asked.seq[asked.at]
         both = share[asked.pair_of] + rest[context] * single[word]
-        chance = np.log10(np.where(known[context], both, single[word]))
+        chance = np.log10(np.where(whole[context] > 0, both, single[word]))
         base = np.log10(single)[word]
         heads = asked.heads - np.arange(len(asked.heads))  # one pair fewer than tokens with BEGIN, per document
         return pa.RecordBatch.from_arrays(
@@ -294,6 +316,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
         F.col("doc_id").cast("long").alias("doc_id"), (F.crc32(named) % FOLDS == HELD_OUT).alias("held_out"), "text"
     )
     batches = stage(_batches(texts))
-    answers = stage(_answers(_requests(batches, shards)))
+    frequent = _frequent(batches)
+    answers = stage(_answers(_requests(batches, shards, frequent)))
     totals = answers.agg(F.sum("tokens"), F.sum("words")).first()
-    return _scores(batches, answers, shards, totals[0] or 0, totals[1] or 0)
+    return _scores(batches, answers, shards, frequent, totals[0] or 0, totals[1] or 0)
+
+
+def _frequent(batches: DataFrame) -> np.ndarray:
+    """Hashes of the contexts to cut: words with a share of 1 / FREQUENT of all, FREQUENT of them at most, and BEGIN."""
+    tokens = batches.agg(F.coalesce(F.sum("tokens"), F.lit(0))).scalar()
+    tops = batches.select(F.inline("top")).groupBy("word").agg(F.sum("n").alias("n"))
+    rows = tops.where(F.col("n") * FREQUENT >= tokens).select("word").collect()
+    return np.append(np.array([r["word"] for r in rows], np.int64).view(np.uint64), BEGIN)
