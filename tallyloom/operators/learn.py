@@ -12,6 +12,7 @@ from pyspark.ml.base import Estimator
 from pyspark.ml.classification import (
     GBTClassifier,
     MultilayerPerceptronClassifier,
+    NaiveBayes,
     OneVsRest,
     RandomForestClassifier,
 )
@@ -47,6 +48,11 @@ def boosted(
     return OneVsRest(classifier=single)
 
 
+def bayes(smoothing: float = 1.0) -> NaiveBayes:
+    """Multinomial naive Bayes on counts and other features that are not negative; one pass per fit."""
+    return NaiveBayes(smoothing=smoothing, modelType="multinomial")
+
+
 def perceptron(width: int, classes: int, hidden: tuple[int, ...] = (32,), rounds: int = 50, seed: int = 2019):
     """Dense network with softmax output."""
     return MultilayerPerceptronClassifier(layers=[width, *hidden, classes], maxIter=rounds, seed=seed)

@@ -13,6 +13,7 @@ MODULES = (
     "sequences",
     "assembly",
     "learning",
+    "bayes",
     "routing",
     "tables",
 )
