@@ -15,11 +15,13 @@ same result each.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import fold, same, text_of
+from tallyloom.llm.common import fold, let, same, text_of
+from tallyloom.sources.stage import stage
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GATE = ("licen", "spdx", "copyright", "warrant", "permission", "redistribut", "public domain", "rights reserved", "free software")
@@ -27,58 +29,58 @@ GATE = ("licen", "spdx", "copyright", "warrant", "permission", "redistribut", "p
 # Base phrases and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-# Names of licenses as they appear among words: label, keyword, pattern.
+# Names of licenses as they appear among words: label, keywords of which one must occur, pattern.
 NAMES = (
-    ("mit", "mit", "(?:mit|mit x11)"),
-    ("expat", "expat", "expat"),
-    ("apache", "apache", "(?:the )?apache(?: software)?"),
-    ("apache-2.0", "apache", "apache(?: license)?(?: version)? 2(?: 0)?"),
-    ("gpl", "gpl", "(?:gnu )?gpl"),
-    ("gpl-2.0", "2", "(?:gnu )?(?:gpl ?v?2(?: 0)?|general public license(?: version)? v?2(?: 0)?)"),
-    ("gpl-3.0", "3", "(?:gnu )?(?:gpl ?v?3(?: 0)?|general public license(?: version)? v?3(?: 0)?)"),
-    ("lgpl", "l", "(?:gnu )?(?:lgpl(?: ?v?[23](?: [01])?)?|(?:lesser|library) general public)"),
-    ("agpl", "a", "(?:gnu )?(?:agpl(?: ?v?3(?: 0)?)?|affero general public)"),
-    ("gfdl", "f", "(?:gnu )?(?:gfdl|fdl|free documentation)"),
-    ("bsd", "bsd", "bsd"),
-    ("bsd-2-clause", "bsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)"),
-    ("bsd-3-clause", "bsd", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)"),
-    ("0bsd", "0bsd", "0bsd"),
-    ("mpl", "m", "(?:mpl(?: 2(?: 0)?)?|mozilla public)"),
-    ("epl", "e", "(?:epl(?: 2(?: 0)?)?|eclipse public)"),
-    ("eupl", "eu", "(?:eupl|european union public)"),
-    ("cddl", "cd", "(?:cddl|common development and distribution)"),
-    ("isc", "isc", "isc"),
-    ("zlib", "zlib", "(?:zlib|zlib libpng)"),
-    ("libpng", "libpng", "libpng"),
-    ("boost", "b", "(?:boost(?: software)?|bsl 1 0)"),
-    ("unlicense", "unlicense", "unlicense"),
-    ("cc0", "c", "(?:cc0(?: 1 0)?|creative commons zero)"),
-    ("cc-by", "c", "(?:cc by(?: [1-4] 0)?|creative commons attribution(?: [1-4] 0)?)"),
-    ("cc-by-sa", "c", "(?:cc by sa(?: [1-4] 0)?|creative commons attribution share ?alike)"),
-    ("cc-by-nc", "c", "(?:cc by nc(?: [1-4] 0)?|creative commons attribution non ?commercial)"),
-    ("cc-by-nd", "c", "(?:cc by nd(?: [1-4] 0)?|creative commons attribution no ?deriv(?:ative)?s)"),
-    ("artistic", "artistic", "artistic"),
-    ("wtfpl", "w", "(?:wtfpl|do what the fuck you want to public)"),
-    ("ofl", "o", "(?:ofl(?: 1 1)?|sil open font)"),
-    ("ms-pl", "m", "(?:ms pl|microsoft public)"),
-    ("postgresql", "postgresql", "postgresql"),
-    ("python", "p", "(?:psf|python software foundation)"),
-    ("ruby", "ruby", "ruby"),
-    ("php", "php", "php"),
-    ("openssl", "openssl", "openssl"),
-    ("vim", "vim", "vim"),
-    ("sspl", "s", "(?:sspl|server side public)"),
-    ("busl", "bus", "(?:busl|business source)"),
-    ("elastic", "elastic", "elastic(?: 2 0)?"),
-    ("afl", "a", "(?:afl|academic free)"),
-    ("osl", "o", "(?:osl|open software)"),
-    ("odbl", "o", "(?:odbl|open database)"),
-    ("ncsa", "ncsa", "(?:ncsa|university of illinois ncsa)"),
-    ("beerware", "beer", "beer ?ware"),
-    ("tcl", "tcl", "tcl tk"),
-    ("curl", "curl", "curl"),
-    ("w3c", "w3c", "w3c"),
-    ("zope", "z", "(?:zpl|zope public)"),
+    ("mit", (" mit ",), "(?:mit|mit x11)"),
+    ("expat", (" expat",), "expat"),
+    ("apache", (" apache",), "(?:the )?apache(?: software)?"),
+    ("apache-2.0", (" apache",), "apache(?: license)?(?: version)? 2(?: 0)?"),
+    ("gpl", (" gpl",), "(?:gnu )?gpl"),
+    ("gpl-2.0", (" gpl", " general public"), "(?:gnu )?(?:gpl ?v?2(?: 0)?|general public license(?: version)? v?2(?: 0)?)"),
+    ("gpl-3.0", (" gpl", " general public"), "(?:gnu )?(?:gpl ?v?3(?: 0)?|general public license(?: version)? v?3(?: 0)?)"),
+    ("lgpl", (" lgpl", " lesser", " library"), "(?:gnu )?(?:lgpl(?: ?v?[23](?: [01])?)?|(?:lesser|library) general public)"),
+    ("agpl", (" agpl", " affero"), "(?:gnu )?(?:agpl(?: ?v?3(?: 0)?)?|affero general public)"),
+    ("gfdl", (" gfdl", " fdl", " free documentation"), "(?:gnu )?(?:gfdl|fdl|free documentation)"),
+    ("bsd", (" bsd",), "bsd"),
+    ("bsd-2-clause", (" bsd", " simplified bsd", " freebsd"), "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)"),
+    ("bsd-3-clause", (" bsd",), "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)"),
+    ("0bsd", (" 0bsd",), "0bsd"),
+    ("mpl", (" mpl", " mozilla"), "(?:mpl(?: 2(?: 0)?)?|mozilla public)"),
+    ("epl", (" epl", " eclipse"), "(?:epl(?: 2(?: 0)?)?|eclipse public)"),
+    ("eupl", (" eupl", " european"), "(?:eupl|european union public)"),
+    ("cddl", (" cddl", " common development"), "(?:cddl|common development and distribution)"),
+    ("isc", (" isc ",), "isc"),
+    ("zlib", (" zlib",), "(?:zlib|zlib libpng)"),
+    ("libpng", (" libpng",), "libpng"),
+    ("boost", (" boost", " bsl "), "(?:boost(?: software)?|bsl 1 0)"),
+    ("unlicense", (" unlicense",), "unlicense"),
+    ("cc0", (" cc0", " creative"), "(?:cc0(?: 1 0)?|creative commons zero)"),
+    ("cc-by", (" cc by", " creative"), "(?:cc by(?: [1-4] 0)?|creative commons attribution(?: [1-4] 0)?)"),
+    ("cc-by-sa", (" cc by", " creative"), "(?:cc by sa(?: [1-4] 0)?|creative commons attribution share ?alike)"),
+    ("cc-by-nc", (" cc by", " creative"), "(?:cc by nc(?: [1-4] 0)?|creative commons attribution non ?commercial)"),
+    ("cc-by-nd", (" cc by", " creative"), "(?:cc by nd(?: [1-4] 0)?|creative commons attribution no ?deriv(?:ative)?s)"),
+    ("artistic", (" artistic",), "artistic"),
+    ("wtfpl", (" wtfpl", " do what"), "(?:wtfpl|do what the fuck you want to public)"),
+    ("ofl", (" ofl", " sil "), "(?:ofl(?: 1 1)?|sil open font)"),
+    ("ms-pl", (" ms pl", " microsoft"), "(?:ms pl|microsoft public)"),
+    ("postgresql", (" postgresql",), "postgresql"),
+    ("python", (" psf", " python"), "(?:psf|python software foundation)"),
+    ("ruby", (" ruby",), "ruby"),
+    ("php", (" php",), "php"),
+    ("openssl", (" openssl",), "openssl"),
+    ("vim", (" vim",), "vim"),
+    ("sspl", (" sspl", " server side"), "(?:sspl|server side public)"),
+    ("busl", (" busl", " business"), "(?:busl|business source)"),
+    ("elastic", (" elastic",), "elastic(?: 2 0)?"),
+    ("afl", (" afl", " academic"), "(?:afl|academic free)"),
+    ("osl", (" osl", " open software"), "(?:osl|open software)"),
+    ("odbl", (" odbl", " open database"), "(?:odbl|open database)"),
+    ("ncsa", (" ncsa", " university of illinois"), "(?:ncsa|university of illinois ncsa)"),
+    ("beerware", (" beer",), "beer ?ware"),
+    ("tcl", (" tcl",), "tcl tk"),
+    ("curl", (" curl",), "curl"),
+    ("w3c", (" w3c",), "w3c"),
+    ("zope", (" zpl", " zope"), "(?:zpl|zope public)"),
 )
 # How a name is put: keyword, pattern around the name, priority (1 is strongest), weight.
 FORMS = (
@@ -108,17 +110,19 @@ SENTENCES = (
 )
 
 
-def rules() -> list[tuple[str, int, float, str, str, bool]]:
-    """(label, priority, weight, keyword, pattern, base) of every rule, base phrases first."""
-    out = [(label, 3, 0.9, phrase, phrase, True) for phrase, label in BASE]
-    out += [(label, 1, 0.97, keyword, pattern, False) for label, keyword, pattern in SENTENCES]
+def rules() -> list[tuple[str, int, float, list[tuple[str, ...]], str, bool]]:
+    """(label, priority, weight, keywords, pattern, base) of every rule, base phrases first.
+
+    A rule is tried where one keyword of each of its tuples occurs.
+    """
+    out = [(label, 3, 0.9, [(phrase,)], phrase, True) for phrase, label in BASE]
+    out += [(label, 1, 0.97, [(keyword,)], pattern, False) for label, keyword, pattern in SENTENCES]
     for keyword, form, priority, weight in FORMS:
-        for label, name_keyword, name in NAMES:
-            longer = max(keyword, name_keyword, key=len)
-            out.append((label, priority, weight, longer, form.format(name), False))
-    for label, keyword, name in NAMES:  # names with a version or variant say enough alone
+        for label, keywords, name in NAMES:
+            out.append((label, priority, weight, [(keyword,), keywords], form.format(name), False))
+    for label, keywords, name in NAMES:  # names with a version or variant say enough alone
         if "-" in label:
-            out.append((label, 2, 0.9, keyword, name, False))
+            out.append((label, 2, 0.9, [keywords], name, False))
     return out
 
 
@@ -128,20 +132,23 @@ def as_words(text: Column) -> Column:
 
 def spans(texts: DataFrame) -> DataFrame:
     """(doc_id, text_hash, label, priority, weight, base, first, last) of every match, in words, last exclusive."""
-    kind = "array<struct<rule int, label string, priority int, weight double, keyword string, pattern string, base boolean>>"
+    kind = "array<struct<rule int, label string, priority int, weight double, keywords array<array<string>>, pattern string, base boolean>>"
     listed = [
-        {"rule": i, "label": label, "priority": p, "weight": w, "keyword": k, "pattern": f"(?<= ){x}(?= )", "base": b}
+        {"rule": i, "label": label, "priority": p, "weight": w, "keywords": k, "pattern": f"(?<= ){x}(?= )", "base": b}
         for i, (label, p, w, k, x, b) in enumerate(rules())
     ]
     literal = F.from_json(F.lit(json.dumps(listed)), kind)
-    folded = fold(F.col("text"))
-    gate = F.lit(False)
-    for word in GATE:
-        gate = gate | F.contains(folded, F.lit(word))
-    wide = texts.where(gate).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.concat(F.lit(" "), as_words(F.col("text")), F.lit(" ")).alias("words")
+    gated = let(fold(F.col("text")), lambda t: reduce(lambda a, w: a | F.contains(t, F.lit(w)), GATE, F.lit(False)))
+    # written, so that the words of a text are made once and not for every rule; `outer` keeps
+    # Spark from testing the rules beforehand to find texts without any
+    wide = stage(
+        texts.where(gated).select(
+            "doc_id", F.xxhash64("text").alias("text_hash"), F.concat(F.lit(" "), as_words(F.col("text")), F.lit(" ")).alias("words")
+        )
     )
-    tried = wide.select("*", F.explode(F.filter(literal, lambda r: F.contains(F.col("words"), r["keyword"]))).alias("r"))
+    has = lambda k: F.contains(F.col("words"), k)
+    fitting = F.filter(literal, lambda r: F.forall(r["keywords"], lambda any_of: F.exists(any_of, has)))
+    tried = wide.select("*", F.explode_outer(fitting).alias("r")).where(F.col("r").isNotNull())
     # \G holds each match to the end of the one before, so a text without one is read once
     lazy = lambda group: F.concat(F.lit(group), F.col("r.pattern"), F.lit(")"))
 
@@ -159,9 +166,11 @@ def spans(texts: DataFrame) -> DataFrame:
     ).distinct()  # repeated rows make the same matches
     upto = Window.partitionBy("doc_id", "text_hash", "rule").orderBy("k")
     first = F.sum(F.col("at.gaps") + F.col("at.hits")).over(upto) - F.col("at.hits") - 1
-    return rows.select(
-        "doc_id", "text_hash", "label", "priority", "weight", "base",
-        first.alias("first"), (first + F.col("at.hits") + 1).alias("last"),
+    return stage(
+        rows.select(
+            "doc_id", "text_hash", "label", "priority", "weight", "base",
+            first.alias("first"), (first + F.col("at.hits") + 1).alias("last"),
+        )
     )
 
 
@@ -183,7 +192,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     words = as_words(F.col("text"))
     sizes = texts.select(
         "doc_id", F.xxhash64("text").alias("text_hash"),
-        F.when(words == "", 0).otherwise(F.size(F.split(words, " "))).cast("long").alias("n_words"),
+        let(words, lambda w: F.when(w == "", 0).otherwise(F.size(F.split(w, " ")))).cast("long").alias("n_words"),
     )
     found = spans(texts)
     base = F.col("base")

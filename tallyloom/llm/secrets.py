@@ -45,10 +45,11 @@ def matches(texts: DataFrame) -> DataFrame:
             for i, (k, p, n) in enumerate(KINDS)
         ]
     )
+    # `outer` keeps Spark from running the patterns beforehand to find texts without a match
     tried = texts.select(
         "text", "doc_id", F.xxhash64("text").alias("text_hash"),
-        F.explode(F.filter(kinds, lambda k: F.rlike(F.col("text"), k["pattern"]))).alias("k"),
-    )
+        F.explode_outer(F.filter(kinds, lambda k: F.rlike(F.col("text"), k["pattern"]))).alias("k"),
+    ).where(F.col("k").isNotNull())
     lazy = lambda group: F.concat(F.lit(group), F.col("k.pattern"), F.lit(")"))
     found = tried.select(
         "doc_id", "text_hash", "k.kind", "k.no", "k.least",
