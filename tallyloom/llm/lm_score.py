@@ -32,7 +32,7 @@ from tallyloom.llm.hashing import chunks, mix, word_hashes
 from tallyloom.llm.ngram_trie import Trie
 from tallyloom.sources.stage import stage
 
-BATCH_CHARS = 32_000_000
+BATCH_CHARS = 12_000_000
 DISCOUNT = 0.75
 FOLDS, HELD_OUT = 5, 1
 # Hashes of the marks at the two ends of a text.
