@@ -1,16 +1,18 @@
 """Quality rules: rules on the words of a text, and cross-document line frequency.
 
-Lines are normalised and hashed; a line that more than `share` of the documents of a host
-hold, and at least `least` of them, is boilerplate there and is taken out. A document is
-rejected if the rules on its own words fail, or if it is depleted: too few of its words
-are left without the boilerplate.
-
-Counts combine before the shuffle, one row per document and different line. A line
+Lines are normalised and hashed; a line that more than `share` of the different texts of a
+host hold, and at least `least` of them, is boilerplate there and is taken out. A document
+is rejected if the rules on its own words fail, or if it is depleted: too few of its words
+are left without the boilerplate. Exact copies are one text, so they never make their own
+lines boilerplate; with `copies` every row counts instead, as the SQL of op4 says it.
+
+Counts combine before the shuffle, one row per document and different line. A line in few
+rows is in few texts, so texts are only told apart for lines in `least` rows or more. A line
 common enough to be hot is what the search is for; its rows are joined to the short list
 of common lines, and adaptive execution broadcasts that list or splits the hot key.
 
 Defined results: a null or empty text has no words and fails; a null host is a host of
-its own; repeated rows count as documents of their own and are judged alike.
+its own; repeated rows are judged alike.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
-# A common line is in this share of the documents of its host, and in this many.
+# A common line is in this share of the different texts of its host, and in this many.
 LINE_SHARE = 0.1
 LINE_DOCS = 50
 # A document is depleted if less than this share of its words is left, or fewer than MIN_WORDS.
@@ -106,7 +108,9 @@ def own_rules(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return figures.withColumn("base_failed", too_short | repeats)
 
 
-def common_line_words(docs: DataFrame, id_col: str, text_col: str, host_col: str, share: float, least: int) -> DataFrame:
+def common_line_words(
+    docs: DataFrame, id_col: str, text_col: str, host_col: str, share: float, least: int, copies: bool
+) -> DataFrame:
     """(doc_id, text_hash, common_words): words in lines that are common in the host of the document."""
     texts = text_of(docs, id_col, text_col, host_col).withColumnRenamed(host_col, "host") if host_col != "host" else text_of(docs, id_col, text_col, "host")
     rows = texts.select(
@@ -118,16 +122,26 @@ def common_line_words(docs: DataFrame, id_col: str, text_col: str, host_col: str
             F.posexplode_outer("lines").alias("pos", "at"),
         ).select("doc_id", "host", "text_hash", "pos", F.col("at.line").alias("line"), F.col("at.words").alias("words"))
     )
-    hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
+
+    def among(table: DataFrame, listed: DataFrame) -> DataFrame:
+        named = listed.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
+        return table.join(named, same(table, named, [("host", "_host"), ("line", "_line")]), "left_semi")
+
     # a document counts once for a line, however often it repeats it
     in_docs = rows.select("host", F.explode(F.array_distinct("lines.line")).alias("line"))
     counts = in_docs.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    common = (
-        counts.join(hosts.withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host")))
-        .where(F.col("n") > share * F.col("docs"))
-        .select(F.col("host").alias("_host"), F.col("line").alias("_line"))
+    if copies:
+        hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
+    else:
+        lines_in_many = stage(among(lines, counts))
+        in_texts = lines_in_many.select("host", "line", "text_hash").distinct()
+        counts = in_texts.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+        hosts = lines.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
+        lines = lines_in_many
+    common = counts.join(hosts.withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host"))).where(
+        F.col("n") > share * F.col("docs")
     )
-    hit = lines.join(common, same(lines, common, [("host", "_host"), ("line", "_line")]), "left_semi")
+    hit = among(lines, common)
     # repeated rows name the same lines; they are judged once
     once = hit.select("doc_id", "text_hash", "pos", "words").distinct()
     return once.groupBy("doc_id", "text_hash").agg(F.sum("words").alias("common_words"))
@@ -140,10 +154,14 @@ def judge(
     host_col: str = "source",
     share: float = LINE_SHARE,
     least: int = LINE_DOCS,
+    copies: bool = False,
 ) -> DataFrame:
-    """One row per row of docs: the figures, base_failed, common_words and kept."""
+    """One row per row of docs: the figures, base_failed, common_words and kept.
+
+    With `copies`, exact copies count as documents of their own when lines are counted.
+    """
     own = own_rules(docs, id_col, text_col)
-    shared = common_line_words(docs, id_col, text_col, host_col, share, least).select(
+    shared = common_line_words(docs, id_col, text_col, host_col, share, least, copies).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "common_words"
     )
     both = own.join(shared, same(own, shared, [("doc_id", "_id"), ("text_hash", "_hash")]), "left").drop("_id", "_hash")

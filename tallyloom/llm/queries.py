@@ -76,7 +76,8 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 """,
 )
 def op4(spark, folder):
-    return quality_rules.judge(documents(spark, folder)).drop("text_hash")
+    # the SQL counts documents, copies or not
+    return quality_rules.judge(documents(spark, folder), copies=True).drop("text_hash")
 
 
 @query("op5_jaccard_join")

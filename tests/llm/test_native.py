@@ -113,6 +113,22 @@ def test_common_lines_deplete_documents_of_their_host_only(spark):
     assert kept.count() == 61 and "class_id" in kept.columns
 
 
+def test_copies_do_not_make_their_own_lines_common(spark):
+    footer = "this footer stands below every page of the host and says nothing at all"
+    word = lambda k, n: " ".join(f"w{k}x{j}" for j in range(n))
+    copied = word(900, 30) + "\n" + word(901, 30)
+    rows = [(k, copied, "a") for k in range(100)] + [(100 + k, word(k, 60) + "\n" + footer, "a") for k in range(200)]
+    rows += [(300, word(300, 15) + "\n" + footer, "a"), (301, word(301, 15) + "\n" + footer, None)]
+    rows += [(400 + k, copied, None) for k in range(60)]  # a third of one host, nearly all of another
+    found = {r.doc_id: r for r in quality_rules.judge(docs_table(spark, rows)).collect()}
+    assert all(found[k].kept and found[k].common_words == 0 for k in [*range(100), *range(400, 460)])
+    assert all(found[k].kept and found[k].common_words == 14 for k in range(100, 300))
+    assert not found[300].kept and found[301].kept
+    assert quality_rules.drop_poor(docs_table(spark, rows)).count() == len(rows) - 1
+    counted = {r.doc_id: r for r in quality_rules.judge(docs_table(spark, rows), copies=True).collect()}
+    assert counted[0].common_words == 60 and not counted[0].kept  # what the SQL of op4 says
+
+
 @pytest.mark.parametrize("hash_all", [True, False])
 def test_exact_groups_match_python(spark, hash_all):
     rows = EDGES + [(200 + k, "copy " * 50) for k in range(40)] + [(300, "copy " * 49 + "copy\t")]
