@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which run() writes to the
 shared folder and reads again as the docs of the next. The first four return rows of
-documents with all their columns; the last returns counts and digests of ids and of the
+documents with all their columns, from the first on without the common lines of their hosts; the last returns counts and digests of ids and of the
 bytes decoded from them. There is no SQL for the whole: SQL cannot say the encoding.
 """
 
@@ -15,7 +15,7 @@ from tallyloom.sources.stage import stage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.drop_poor(docs)
+    return quality_rules.cleaned(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

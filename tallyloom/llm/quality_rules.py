@@ -1,7 +1,8 @@
 """Quality rules: rules on the words of a text, and cross-document line frequency.
 
 Lines are normalised and hashed; a line that more than `share` of the different texts of a
-host hold, and at least `least` of them, is boilerplate there and is taken out. A document
+host hold, and at least `least` of them, is boilerplate there; judge counts its words, cleaned
+takes it out of the text, drop_poor leaves the texts as they were. A document
 is rejected if the rules on its own words fail, or if it is depleted: too few of its words
 are left without the boilerplate. Exact copies are one text, so they never make their own
 lines boilerplate; with `copies` every row counts instead, as the SQL of op4 says it.
@@ -78,15 +79,27 @@ def repeated_words(words: Column) -> Column:
 
 
 def line_hashes(text: Column) -> Column:
-    """Hashes of the normalised lines with a word in them: lower case, single spaces."""
+    """Place, hash and size of the normalised lines with a word in them: lower case, single spaces."""
     plain = F.regexp_replace(F.lower(text), r"[\x20\x09\x0B-\x0D]+", " ")
-    lines = F.transform(F.split(plain, "\n"), lambda x: F.trim(x))
+    lines = F.transform(F.split(plain, "\n"), lambda x, i: F.struct(F.trim(x).alias("x"), i.alias("pos")))
     return F.transform(
-        F.filter(lines, lambda x: x != ""),
-        lambda x: F.struct(F.xxhash64(x).alias("line"), F.size(F.split(x, " ")).alias("words")),
+        F.filter(lines, lambda e: e["x"] != ""),
+        lambda e: F.struct(e["pos"].alias("pos"), F.xxhash64(e["x"]).alias("line"), F.size(F.split(e["x"], " ")).alias("words")),
     )
 
 
+def without_lines(text: Column, gone: Column) -> Column:
+    """The text without the lines at the places `gone`, which are in order; a text without any stays as it is."""
+
+    def stretch(lines: Column, i: Column) -> Column:
+        before = F.when(i == 0, -1).otherwise(F.get(gone, i - 1))
+        return F.slice(lines, before + 2, F.coalesce(F.get(gone, i), F.size(lines)) - before - 1)
+
+    places = F.sequence(F.lit(0), F.size(gone))
+    left = let(F.split(text, "\n"), lambda lines: F.flatten(F.transform(places, lambda i: stretch(lines, i))))
+    return F.when(F.size(gone) > 0, F.array_join(left, "\n")).otherwise(text)
+
+
 def own_rules(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Figures of each text by itself, and whether they fail."""
     texts = text_of(docs, id_col, text_col)
@@ -111,7 +124,10 @@ def own_rules(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def common_line_words(
     docs: DataFrame, id_col: str, text_col: str, host_col: str, share: float, least: int, copies: bool
 ) -> DataFrame:
-    """(doc_id, text_hash, common_words): words in lines that are common in the host of the document."""
+    """(doc_id, text_hash, common_words, common_lines): words in lines that are common in the host, and their places in order.
+
+    The host is that of the row; rows that repeat an id and a text in several hosts lose the lines common in any of them.
+    """
     texts = text_of(docs, id_col, text_col, host_col).withColumnRenamed(host_col, "host") if host_col != "host" else text_of(docs, id_col, text_col, "host")
     rows = texts.select(
         "doc_id", "host", F.xxhash64("text").alias("text_hash"), line_hashes(F.col("text")).alias("lines")
@@ -119,8 +135,8 @@ def common_line_words(
     lines = stage(
         rows.select(
             "doc_id", "host", "text_hash",
-            F.posexplode_outer("lines").alias("pos", "at"),
-        ).select("doc_id", "host", "text_hash", "pos", F.col("at.line").alias("line"), F.col("at.words").alias("words"))
+            F.explode_outer("lines").alias("at"),
+        ).select("doc_id", "host", "text_hash", "at.pos", "at.line", "at.words")
     )
 
     def among(table: DataFrame, listed: DataFrame) -> DataFrame:
@@ -144,7 +160,21 @@ def common_line_words(
     hit = among(lines, common)
     # repeated rows name the same lines; they are judged once
     once = hit.select("doc_id", "text_hash", "pos", "words").distinct()
-    return once.groupBy("doc_id", "text_hash").agg(F.sum("words").alias("common_words"))
+    return once.groupBy("doc_id", "text_hash").agg(
+        F.sum("words").alias("common_words"), F.sort_array(F.collect_list("pos")).alias("common_lines")
+    )
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, share: float, least: int, copies: bool) -> DataFrame:
+    own = own_rules(docs, id_col, text_col)
+    shared = common_line_words(docs, id_col, text_col, host_col, share, least, copies).withColumnsRenamed(
+        {"doc_id": "_id", "text_hash": "_hash"}
+    )
+    both = own.join(shared, same(own, shared, [("doc_id", "_id"), ("text_hash", "_hash")]), "left").drop("_id", "_hash")
+    both = both.withColumn("common_words", F.coalesce("common_words", F.lit(0)).cast("long"))
+    left = F.col("n_words") - F.col("common_words")
+    depleted = (left < MIN_WORDS) | (left < WORDS_LEFT * F.col("n_words"))
+    return both.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
 def judge(
@@ -160,17 +190,31 @@ def judge(
 
     With `copies`, exact copies count as documents of their own when lines are counted.
     """
-    own = own_rules(docs, id_col, text_col)
-    shared = common_line_words(docs, id_col, text_col, host_col, share, least, copies).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "common_words"
-    )
-    both = own.join(shared, same(own, shared, [("doc_id", "_id"), ("text_hash", "_hash")]), "left").drop("_id", "_hash")
-    both = both.withColumn("common_words", F.coalesce("common_words", F.lit(0)).cast("long"))
-    left = F.col("n_words") - F.col("common_words")
-    depleted = (left < MIN_WORDS) | (left < WORDS_LEFT * F.col("n_words"))
-    return both.withColumn("kept", ~F.col("base_failed") & ~depleted)
+    return _judged(docs, id_col, text_col, host_col, share, least, copies).drop("common_lines")
 
 
 def drop_poor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
     """The documents that pass, all columns as they were."""
     return keep_rows(docs, judge(docs, id_col, text_col, host_col, **limits).where("kept"), id_col, text_col)
+
+
+def cleaned(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+    share: float = LINE_SHARE,
+    least: int = LINE_DOCS,
+    copies: bool = False,
+) -> DataFrame:
+    """The documents that pass, their texts without the common lines; all other columns as they were."""
+    passed = _judged(docs, id_col, text_col, host_col, share, least, copies).where("kept")
+    # repeated rows have the same lines
+    named = passed.groupBy(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash")).agg(
+        F.first("common_lines").alias("__gone")
+    )
+    hashed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
+    joined = hashed.join(named, same(hashed, named, [(id_col, "__kept_id"), ("__text_hash", "__kept_hash")]))
+    gone = F.coalesce("__gone", F.array().cast("array<int>"))
+    texts = joined.withColumn(text_col, without_lines(F.col(f"`{text_col}`"), gone))
+    return texts.select(*[F.col(f"`{c}`") for c in docs.columns])

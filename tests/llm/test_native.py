@@ -129,6 +129,29 @@ def test_copies_do_not_make_their_own_lines_common(spark):
     assert counted[0].common_words == 60 and not counted[0].kept  # what the SQL of op4 says
 
 
+def test_common_lines_are_taken_out_of_the_texts(spark):
+    footer = "this footer stands below every page of the host and says nothing at all"
+    word = lambda k, n: " ".join(f"w{k}x{j}" for j in range(n))
+    rows = [(k, word(k, 30) + "\n" + footer + "\n\n " + word(k + 500, 30) + " ", "a") for k in range(60)]
+    rows += [(100, footer + "\r\n" + word(100, 90) + "\n\tThis  " + footer[5:], "a"), (101, word(101, 40) + "\n" + footer, "b")]
+    rows += [(102, footer + "\n" + footer + "\n" + word(102, 90) + "\n", None), (100, word(103, 60), "a"), (None, word(104, 60), "a")]
+    docs = docs_table(spark, rows + rows[:1] + [(200, word(200, 15) + "\n" + footer, "a")], extra=True)
+    out = quality_rules.cleaned(docs)
+    assert out.columns == docs.columns
+    want = [(k, word(k, 30) + "\n\n " + word(k + 500, 30) + " ") for k in [0, *range(60)]]
+    want += [(100, word(100, 90)), *[(i, t) for i, t, _ in rows[-4:]]]
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.text)) for r in out.collect())
+
+
+def test_pipeline_texts_have_no_common_lines(spark):
+    import corpus_pipeline
+
+    footer = "this footer stands below every page of the host and says nothing at all"
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(60)) + "\n" + footer, "a") for k in range(60)]
+    out = corpus_pipeline.quality(spark, docs_table(spark, rows), "").collect()
+    assert len(out) == 60 and not any(footer in r.text for r in out)
+
+
 @pytest.mark.parametrize("hash_all", [True, False])
 def test_exact_groups_match_python(spark, hash_all):
     rows = EDGES + [(200 + k, "copy " * 50) for k in range(40)] + [(300, "copy " * 49 + "copy\t")]
