@@ -1,7 +1,8 @@
 """License scan: ordered signature rules behind a keyword gate.
 
-A text becomes its lower-case words with single spaces between them. Texts without any
-gate word are done. For the others each rule whose keyword occurs is matched, and every
+A text becomes its lower-case words with single spaces between them. Texts without the
+keywords of any rule are done; the gate is made from the rules, so it never closes on a text
+that a rule matches. For the others each rule whose keyword occurs is matched, and every
 match is a span of words. A span inside another of the same or a stronger priority is
 suppressed, so a long signature outranks the short names inside it.
 
@@ -24,7 +25,6 @@ from tallyloom.llm.common import fold, let, same, text_of
 from tallyloom.sources.stage import stage
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-GATE = ("licen", "spdx", "copyright", "warrant", "permission", "redistribut", "public domain", "rights reserved", "free software")
 
 # Base phrases and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -126,6 +126,20 @@ def rules() -> list[tuple[str, int, float, list[tuple[str, ...]], str, bool]]:
     return out
 
 
+def gate(words: Column) -> Column:
+    """Whether the keywords of some rule occur: rules with the same ones are asked once, the names of a form together."""
+    any_of = lambda keys: reduce(lambda a, k: a | k, [F.contains(words, F.lit(k)) for k in sorted(keys)])
+    alone, forms = set(), {}
+    for _, _, _, keywords, _, _ in rules():
+        if len(keywords) == 1:
+            alone.update(keywords[0])
+        else:
+            (form,), names = keywords
+            forms.setdefault(form, set()).update(names)
+    names = set().union(*forms.values()) - alone
+    return any_of(alone) | (any_of(forms) & any_of(names))
+
+
 def as_words(text: Column) -> Column:
     return F.trim(F.regexp_replace(fold(text), SEPARATORS, " "))
 
@@ -138,13 +152,11 @@ def spans(texts: DataFrame) -> DataFrame:
         for i, (label, p, w, k, x, b) in enumerate(rules())
     ]
     literal = F.from_json(F.lit(json.dumps(listed)), kind)
-    gated = let(fold(F.col("text")), lambda t: reduce(lambda a, w: a | F.contains(t, F.lit(w)), GATE, F.lit(False)))
+    spaced = F.concat(F.lit(" "), as_words(F.col("text")), F.lit(" "))
     # written, so that the words of a text are made once and not for every rule; `outer` keeps
     # Spark from testing the rules beforehand to find texts without any
     wide = stage(
-        texts.where(gated).select(
-            "doc_id", F.xxhash64("text").alias("text_hash"), F.concat(F.lit(" "), as_words(F.col("text")), F.lit(" ")).alias("words")
-        )
+        texts.where(let(spaced, gate)).select("doc_id", F.xxhash64("text").alias("text_hash"), spaced.alias("words"))
     )
     has = lambda k: F.contains(F.col("words"), k)
     fitting = F.filter(literal, lambda r: F.forall(r["keywords"], lambda any_of: F.exists(any_of, has)))

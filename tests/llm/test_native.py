@@ -1,6 +1,7 @@
 """Operators written with DataFrame functions only, against plain Python."""
 
 import random
+import re
 
 import brute
 import pytest
@@ -48,6 +49,56 @@ def test_license_rules_add_labels_and_suppress(spark):
     assert len(licenses.rules()) > 200
 
 
+def example(pattern):
+    """A text that a pattern matches: the first branch, and what may be left out left in."""
+    out = ""
+    for op, arg in pattern:
+        match str(op):
+            case "LITERAL":
+                out += chr(arg)
+            case "SUBPATTERN":
+                out += example(arg[-1])
+            case "BRANCH":
+                out += example(arg[1][0])
+            case "MAX_REPEAT" | "MIN_REPEAT":
+                out += example(arg[2]) * max(arg[0], 1)
+            case "IN":
+                out += chr(arg[0][1] if str(arg[0][0]) == "LITERAL" else arg[0][1][0])
+            case "ANY":
+                out += "x"
+            case _:
+                raise ValueError(op)
+    return out
+
+
+def test_every_license_rule_passes_the_gate(spark):
+    import re._parser as parser
+
+    rows, want = [], {}
+    for k, (label, priority, _, _, pattern, base) in enumerate(licenses.rules()):
+        text = example(parser.parse(pattern))
+        assert re.fullmatch(pattern, text)
+        rows += [(k, f"Aaa, {text.replace(' ', '\n ')} zzz"), (10_000 + k, text.upper())]
+        want[k] = want[10_000 + k] = (label, priority, base)
+    found = {}
+    for r in licenses.spans(licenses.text_of(docs_table(spark, rows))).collect():
+        found.setdefault(r.doc_id, set()).add((r.label, r.priority, r.base))
+    assert [k for k in want if want[k] not in found.get(k, ())] == []
+
+
+def test_names_and_sentences_alone_pass_the_gate(spark):
+    texts = {
+        "Distributed under the GPLv3": "gpl-3.0", "content is available under CC BY-SA 4.0": "cc-by-sa", "terms of the GNU GPL": "gpl",
+        "BSD-3-Clause": "bsd-3-clause", "Apache 2.0": "apache-2.0", "proprietary and confidential": "proprietary",
+        "Altered source versions must be plainly marked as such": "zlib", "placed in the public\ndomain": "public-domain",
+        "all rights\n  reserved": "all-rights-reserved", "This program is free  software; you can\nredistribute it": "gpl",
+    }
+    found = {r.doc_id: r.labels.split(",") for r in licenses.detect(docs_table(spark, list(enumerate(texts)))).collect()}
+    assert {t: x for k, (t, x) in enumerate(texts.items()) if x not in found[k]} == {}
+    (plain,) = licenses.detect(docs_table(spark, [(1, "a python in the library of a european university, in terms of the creative business")])).collect()
+    assert plain.labels == "" and plain.score == 0.0
+
+
 def test_a_name_inside_a_longer_signature_is_suppressed(spark):
     spans = spark.createDataFrame(
         [(1, 0, "gpl", 3, 0.8, False, 0, 3), (1, 0, "mit", 3, 0.8, False, 1, 2), (1, 0, "isc", 1, 0.9, False, 1, 2)],
