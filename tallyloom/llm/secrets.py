@@ -1,7 +1,9 @@
 """Secret scan: fixed patterns, and a battery of randomness tests on long runs of symbols.
 
-A run gets an encoding (hex, base32, base64) from its symbols. The battery asks whether
-it looks drawn at random from that alphabet: chi-squared for even use of the symbols, a
+A run gets an encoding (hex, base32, base36, base62, base64) from the kinds of its symbols.
+Separators may be symbols of base64 or stand between symbols, so a run with some is tested
+both ways, and so are its long parts between them; of nested spans that pass the longest is
+told. The battery asks whether a run looks drawn at random from that alphabet: chi-squared for even use of the symbols, a
 runs test about the middle of the alphabet, and the serial correlation of neighbours. The
 other side is a null model of prose: few changes between letters, capitals and digits, and
 letters that repeat as they do in words. Its p-values go through false-discovery control
@@ -29,7 +31,22 @@ KINDS = (
     ("hex", "[0-9a-f]{24,}", 24),
     ("random", "[A-Za-z0-9+/_-]{20,}={0,2}", 20),
 )
+UUID = "[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
+# Parts of a run: between slashes, then with underscores too, then with hyphens too; and ids in hyphened hex.
+PARTS = ("[^+/=]{20,}", "[^+/=_]{20,}", "[^+/=_-]{20,}", UUID)
+LEAST_SYMBOLS = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+UPPER, LOWER, DIGITS = ALPHABET[:26], ALPHABET[26:52], ALPHABET[52:62]
+# Encoding, pattern, symbols in order; the first that fits. Case does not tell hex symbols apart.
+ENCODINGS = (
+    ("hex", "^(?:[0-9a-f]+|[0-9A-F]+)$", DIGITS + "abcdef"),
+    ("base32", "^[A-Z2-7]+$", UPPER + "234567"),
+    ("base32 lower", "^[a-z2-7]+$", LOWER + "234567"),
+    ("base36", "^[A-Z0-9]+$", UPPER + DIGITS),
+    ("base36 lower", "^[a-z0-9]+$", LOWER + DIGITS),
+    ("base62", "^[A-Za-z0-9]+$", ALPHABET[:62]),
+    ("base64", "", ALPHABET),
+)
 FALSE_DISCOVERIES = 0.01
 LEAST_RANDOM = 0.001
 # Prose: chance that two letters of a word agree, and of a change of class between neighbours.
@@ -72,23 +89,46 @@ def matches(texts: DataFrame) -> DataFrame:
     )
 
 
+def with_parts(runs: DataFrame) -> DataFrame:
+    """The runs and their parts, each once; `bare` rows have the symbols between the separators only."""
+    split = F.rlike("hit", F.lit("[+/_-]"))
+    tried = runs.select("*", F.explode(F.array(*[F.lit(p) for p in PARTS])).alias("_part")).where(split)
+    lazy = lambda group: F.concat(F.lit(group), F.col("_part"), F.lit(")"))
+    cut = tried.select(
+        *runs.columns, "_part",
+        F.posexplode(
+            F.arrays_zip(
+                F.transform(F.regexp_extract_all("hit", lazy(r"\G(.*?)(?:"), F.lit(1)), F.char_length).alias("gap"),
+                F.regexp_extract_all("hit", lazy(r"\G.*?("), F.lit(1)).alias("piece"),
+            )
+        ).alias("_i", "_at"),
+    )
+    upto = Window.partitionBy("doc_id", "text_hash", "start", "_part").orderBy("_i")
+    size = F.char_length("_at.piece")
+    pieces = cut.withColumn("_end", F.col("start") + F.sum(F.col("_at.gap") + size).over(upto)).select(
+        *[c for c in runs.columns if c not in ("start", "end", "hit")],
+        (F.col("_end") - size).alias("start"), F.col("_end").alias("end"), F.col("_at.piece").alias("hit"),
+    )
+    every = runs.unionByName(pieces.select(*runs.columns)).distinct()
+    bare = F.regexp_replace("hit", "[+/_=-]+", "")
+    ways = F.when(split & (F.char_length(bare) >= LEAST_SYMBOLS), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    return every.select("*", F.explode(ways).alias("bare"))
+
+
 def _upper_tail(z: Column) -> Column:
     """Chance of a normal value above z, by a logistic curve."""
     return 1 / (1 + F.exp(F.least(F.lit(600.0), 1.5976 * z + 0.07056 * z * z * z)))
 
 
 def battery(runs: DataFrame) -> DataFrame:
-    """Adds encoding, n, p_random and p_prose to rows with a column hit."""
-    symbols = F.translate(F.regexp_replace("hit", "=+$", ""), "-_", "+/")
-    encoding = (
-        F.when(F.rlike("sym", F.lit("^(?:[0-9a-f]+|[0-9A-F]+)$")), "hex")
-        .when(F.rlike("sym", F.lit("^[A-Z2-7]+$")), "base32")
-        .otherwise("base64")
-    )
+    """Adds encoding, n, p_random and p_prose to rows with the columns hit and bare."""
+    whole = F.translate(F.regexp_replace("hit", "=+$", ""), "-_", "+/")
+    symbols = F.when(F.col("bare"), F.regexp_replace("hit", "[+/_=-]+", "")).otherwise(whole)
+    encoding = F.coalesce(*[F.when(F.rlike("sym", F.lit(p)), F.lit(k)) for k, p, _ in ENCODINGS])
     coded = (
         runs.withColumn("sym", symbols)
         .withColumn("encoding", encoding)
-        .withColumn("order", F.when(F.col("encoding") == "hex", "0123456789abcdef").when(F.col("encoding") == "base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567").otherwise(ALPHABET))
+        .withColumn("order", F.coalesce(*[F.when(F.col("encoding") == k, F.lit(o)) for k, _, o in ENCODINGS]))
         .withColumn("low", F.when(F.col("encoding") == "hex", F.lower("sym")).otherwise(F.col("sym")))
         .withColumn("x", F.expr("transform(split(low, '(?!^)(?!$)'), c -> locate(c, `order`))"))
         .withColumn("size", F.char_length("order").cast("double"))
@@ -146,17 +186,20 @@ def discoveries(tested: DataFrame) -> DataFrame:
 
 
 def all_spans(texts: DataFrame) -> DataFrame:
-    """Base spans, and those random runs that no base span touches."""
+    """Base spans, and those random runs that no base span touches and no longer one holds."""
     found = stage(matches(texts))
     base = found.where("kind <> 'random'").drop("hit")
-    extra = discoveries(battery(found.where("kind = 'random'"))).select(*base.columns)
+    extra = discoveries(battery(with_parts(found.where("kind = 'random'")))).select(*base.columns).distinct()
     both = base.unionByName(extra)
     doc = Window.partitionBy("doc_id", "text_hash").orderBy("start", "no")
     is_base = F.col("kind") != "random"
     reach = F.max(F.when(is_base, F.col("end"))).over(doc.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     begin = F.min(F.when(is_base, F.col("start"))).over(doc.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     touched = F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(begin < F.col("end"), F.lit(False))
-    return both.withColumn("_touched", touched).where(is_base | ~F.col("_touched")).drop("_touched")
+    free = both.withColumn("_touched", touched).where(is_base | ~F.col("_touched")).drop("_touched")
+    longest = Window.partitionBy("doc_id", "text_hash").orderBy("start", F.col("end").desc(), "no")
+    held = F.max(F.when(~is_base, F.col("end"))).over(longest.rowsBetween(Window.unboundedPreceding, -1)) >= F.col("end")
+    return free.withColumn("_held", F.coalesce(held, F.lit(False))).where(is_base | ~F.col("_held")).drop("_held")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -135,6 +135,33 @@ def test_secret_battery_finds_random_runs_and_leaves_words(spark):
     assert all(found[100 + k].spans == "" for k in range(20))
 
 
+def test_secret_recall_by_alphabet_length_and_separators(spark):
+    import string
+    import uuid
+
+    draw = random.Random(9)
+    low, up, ten = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    alphabets = {"base36 lower": low + ten, "base36": up + ten, "base32 lower": low + "234567", "base62": low + up + ten}
+    of = lambda a, n: "".join(draw.choice(a) for _ in range(n))
+    cases = {f"{k} {n}": [("", of(a, n)) for _ in range(40)] for k, a in alphabets.items() for n in (40, 64, 128)}
+    cases["uuid"] = [("", str(uuid.UUID(int=draw.getrandbits(128), version=4))) for _ in range(40)]
+    cases["uuid in a path"] = [("/users/", str(uuid.UUID(int=draw.getrandbits(128), version=4))) for _ in range(40)]
+    cases["groups"] = [("", "-".join(of(up + ten, 5) for _ in range(6))) for _ in range(40)]
+    cases["after a path"] = [("/services/webhooks/incoming/", of(low + up + ten, 24)) for _ in range(40)]
+    rows, want = [], {}
+    for kind, planted in cases.items():
+        for before, key in planted:
+            want[len(rows)] = kind, 5 + len(before), 5 + len(before) + len(key)
+            rows.append((len(rows), f"note {before}{key} end"))
+    rows += [(9000 + k, "see /services/webhooks/incoming/some-long-words-of-a-path or the_name_of_a_function_in_it") for k in range(40)]
+    found = {r.doc_id: r.spans for r in secrets.scan(docs_table(spark, rows)).collect()}
+    # the path before a key may be told with it
+    hit = lambda s, a, b: any(k == "random" and int(x) <= a and int(y) >= b for k, x, y in (t.split(":") for t in s.split(",") if t))
+    recall = {kind: sum(hit(found[i], a, b) for i, (k, a, b) in want.items() if k == kind) / 40 for kind in cases}
+    assert {k: r for k, r in recall.items() if r < 0.9} == {}
+    assert all(found[9000 + k] == "" for k in range(40))
+
+
 def test_secret_spans_keep_the_base_ones_in_order(spark):
     (row,) = secrets.scan(docs_table(spark, [SECRETS[3]])).collect()
     base = brute.secret_base(SECRETS[3][1])[2]
