@@ -1,4 +1,7 @@
-"""Repeated byte strings of a fixed length, by merging Burrows-Wheeler orders of shards.
+"""Repeated byte strings of a fixed length, by minimiser groups and refinement of their interleave.
+
+This stands in place of a merge of the Burrows-Wheeler transforms of shards: no transform of
+a shard is built, and no two are merged.
 
 1. Every string of LENGTH bytes picks an anchor: the KMER bytes in it with the smallest
    hash. Equal strings pick the same anchor at the same offset, so anchors deal strings out
