@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import byte_bpe, chat, exact_dedup, jaccard_join, licenses, lm_score, mixing, quality_rules, secrets, suffix_dedup
+from tallyloom.llm import byte_bpe, chat, exact_dedup, jaccard_join, licenses, lm_score, mixing, quality_rules, secrets, sharding, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -146,3 +146,42 @@ def op10(spark, folder):
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trip(documents(spark, folder), path, public_tokenizers.PATTERN)
+
+
+# CRC-32 of a blob, byte by byte: the table by its rule, then one look-up a byte.
+CRC_TABLE = """SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def crc_sql(text: str, table: str) -> str:
+    digits = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    return f"xor(list_reduce({digits}, lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+@query(
+    "op11_sharding",
+    f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}),
+d AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
+    CAST({crc_sql("coalesce(text, '')", "crc.t")} AS BIGINT) AS text_crc32 FROM documents, crc),
+v AS (SELECT *, CAST('0x' || substr(md5(concat(coalesce(CAST(doc_id AS VARCHAR), 'null'), ':', text_crc32)), 1, 8) AS BIGINT)
+    % {sharding.SLOTS} AS vslot FROM d),
+loads AS (SELECT vslot, sum(size) AS bytes, count(*) AS rows FROM v GROUP BY vslot),
+known AS (SELECT s.vslot, s.vslot % {sharding.SHARDS} AS shard, CAST(coalesce(bytes, 0) AS BIGINT) AS bytes
+    FROM (SELECT unnest(range({sharding.SLOTS})) AS vslot) s LEFT JOIN loads USING (vslot)),
+judged AS (SELECT *, bytes = 0 OR row_number() OVER w = 1
+    OR sum(bytes) OVER w <= ceil(sum(bytes) OVER () / {sharding.SHARDS}) AS keep FROM known
+    WINDOW w AS (PARTITION BY shard ORDER BY bytes DESC, vslot ROWS UNBOUNDED PRECEDING)),
+start AS (SELECT list(bytes ORDER BY shard) AS loads FROM (SELECT shard, CAST(sum(bytes) FILTER (keep) AS BIGINT) AS bytes FROM judged GROUP BY shard)),
+freed AS (SELECT vslot, bytes, row_number() OVER (ORDER BY bytes DESC, vslot) AS n FROM judged WHERE NOT keep),
+deal AS (SELECT CAST(0 AS BIGINT) AS n, loads, CAST(NULL AS BIGINT) AS vslot, CAST(NULL AS BIGINT) AS shard FROM start
+    UNION ALL SELECT f.n, list_transform(loads, lambda x, k: CASE WHEN k = list_position(loads, list_min(loads)) THEN x + bytes ELSE x END),
+    f.vslot, CAST(list_position(loads, list_min(loads)) - 1 AS BIGINT) FROM deal JOIN freed f ON f.n = deal.n + 1),
+edited AS (SELECT vslot, shard FROM judged WHERE keep UNION ALL SELECT vslot, shard FROM deal WHERE n > 0)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+    row_number() OVER (PARTITION BY shard ORDER BY vslot, doc_id, text_crc32, size) - 1 AS slot,
+    CAST(NULL AS INTEGER) AS grown_shard, vslot, CAST(1 AS INTEGER) AS map_version FROM v JOIN edited USING (vslot)
+""",
+)
+def op11(spark, folder):
+    return sharding.shard_documents(documents(spark, folder))
