@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import byte_bpe, chat, exact_dedup, jaccard_join, licenses, lm_score, mixing, quality_rules, secrets, sharding, suffix_dedup
+from tallyloom.llm import byte_bpe, chat, divergence, exact_dedup, jaccard_join, licenses, lm_score, mixing, quality_rules, secrets, sharding, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -185,3 +185,31 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard
 )
 def op11(spark, folder):
     return sharding.shard_documents(documents(spark, folder))
+
+
+@query(
+    "op12_source_divergence",
+    r"""
+WITH t AS (SELECT row_number() OVER () AS d, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+w AS (SELECT d, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM t),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT d) >= 3),
+langs AS (SELECT lang, count(*) AS v, CAST(sum(n) AS HUGEINT) AS total FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+totals AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS total FROM c GROUP BY lang, source),
+g AS (SELECT lang, source, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM t) LEFT JOIN totals USING (lang, source)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * CAST(coalesce(c.n, 0) + 1 AS HUGEINT)) // (g.total + v) AS p
+    FROM g JOIN kept k ON g.lang = k.lang JOIN langs l ON g.lang = l.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+q AS (SELECT k.lang, k.term, 1 + (1000000000 * CAST(n + 1 AS HUGEINT)) // (total + v) AS q FROM kept k JOIN langs l ON k.lang = l.lang),
+found AS (SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(value, 0) AS value
+    FROM g JOIN g o ON g.lang = o.lang AND g.source <> o.source
+    LEFT JOIN pairs x ON x.lang = g.lang AND x.source = g.source AND x.item = o.source
+    UNION ALL SELECT p.lang, p.source, 'term', p.term, ((p - q) * (p - q)) // q FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found) WHERE part = 'pair' OR rank <= 200
+""",
+)
+def op12(spark, folder):
+    return divergence.divergence(documents(spark, folder))
