@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import byte_bpe, chat, divergence, exact_dedup, jaccard_join, licenses, lm_score, mixing, quality_rules, secrets, sharding, suffix_dedup
+from tallyloom.llm import byte_bpe, chat, chat_repair, divergence, exact_dedup, jaccard_join, licenses, lm_score, mixing, quality_rules, secrets, sharding, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -213,3 +213,53 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 )
 def op12(spark, folder):
     return divergence.divergence(documents(spark, folder))
+
+
+def _inserted(inner: str) -> str:
+    """Rows (conv_id, i, s, cost, audit, body) with none, one or two empty turns put in behind them."""
+    return f"""SELECT conv_id, i, CASE m WHEN 0 THEN s WHEN 1 THEN t ELSE 5 - t END AS s, cost + 5 * m AS cost, audit || repeat('I', m) AS audit,
+        body || CASE WHEN m > 0 THEN chr(10) || names[t - 1] || ':' ELSE '' END || CASE WHEN m > 1 THEN chr(10) || names[4 - t] || ':' ELSE '' END AS body
+        FROM (SELECT *, CASE WHEN s = 2 THEN 3 ELSE 2 END AS t, unnest([0, 1, 2]) AS m, ['user', 'assistant'] AS names FROM {inner})"""
+
+
+@query(
+    "op13_chat_repair",
+    rf"""
+WITH RECURSIVE crc AS ({CRC_TABLE}),
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS key FROM conversations),
+k AS (SELECT c.*, {crc_sql("key", "crc.t")} % 20 AS kind FROM c, crc),
+d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i FROM d),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS step FROM o),
+best AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS s, {{'cost': 0, 'audit': '', 'body': ''}} AS b FROM (SELECT DISTINCT conv_id FROM f)
+    UNION ALL SELECT conv_id, i, s, min(b) AS b FROM (
+        SELECT p.conv_id, p.i + 1 AS i,
+            CASE e WHEN 'D' THEN p.s WHEN 'R' THEN t WHEN 'K' THEN CASE WHEN left(role, 1) = 's' AND p.s = 0 THEN 1 WHEN left(role, 1) = names[t - 1][1] THEN t END END AS s,
+            {{'cost': p.cost + CASE e WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN e <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END,
+              'audit': p.audit || e,
+              'body': p.body || CASE e WHEN 'D' THEN '' WHEN 'R' THEN chr(10) || names[t - 1] || ':' || text ELSE chr(10) || role || ':' || text END}} AS b
+        FROM (SELECT *, CASE WHEN s = 2 THEN 3 ELSE 2 END AS t, ['user', 'assistant'] AS names, unnest(['D', 'K', 'R']) AS e FROM (
+            {_inserted("(SELECT conv_id, i, s, b.cost AS cost, b.audit AS audit, b.body AS body FROM best)")})) p
+        JOIN f ON f.conv_id = p.conv_id AND f.i = p.i + 1 WHERE e = 'D' OR fault IN ('', 'truncated'))
+    WHERE s IS NOT NULL GROUP BY conv_id, i, s),
+n AS (SELECT conv_id, max(i) AS i, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (step NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+done AS (SELECT conv_id, min({{'cost': cost, 'audit': audit, 'body': body}}) AS b FROM (
+    {_inserted("(SELECT best.conv_id, i, s, b.cost AS cost, b.audit AS audit, b.body AS body FROM best JOIN n USING (conv_id, i))")})
+    WHERE s IN (0, 3) GROUP BY conv_id)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+    CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+    CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(b.cost, 0) AS BIGINT) AS cost, coalesce(b.audit, '') AS audit,
+    sha256(coalesce(substr(b.body, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN n USING (conv_id) LEFT JOIN done USING (conv_id)
+""",
+)
+def op13(spark, folder):
+    return chat_repair.repair(spark.read.parquet(f"{folder}/conversations.parquet"))
