@@ -3,8 +3,8 @@
 Texts are cut at blanks only, and the chunks of each document counted, in batches of about
 BATCH_BYTES: a list of the different chunks of the batch, and its documents as numbers in
 that list with counts. Chunks of all batches meet once; each globally different one is split
-into terms there, and only there. The terms then go back to the batches that asked for them,
-where they replace the chunk numbers, so that one term from several chunks of a document
+into terms there, and only there. The terms then go back to the batches that asked for them
+(a chunk that is a term itself needs no answer), where they replace the chunk numbers, so that one term from several chunks of a document
 counts that document once. A batch sends on one row per group and term; sums over batches
 give documents and occurrences of every term in every (lang, source).
 
@@ -24,20 +24,22 @@ is a batch of its own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import fold
 from tallyloom.llm.lm_score import pack, unpack
 from tallyloom.sources.stage import stage
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-BATCH_BYTES = 16_000_000
+# A term is a run of letters A-Z, folded, and characters beyond ASCII; all other bytes become blanks.
+NO_TERM = bytes(b if b > 127 or 97 <= b <= 122 else 32 for b in range(256))
+BATCH_BYTES = 32_000_000
 MIN_DOCS = 3
 TOP_TERMS = 200
 UNIT = 1_000_000_000
@@ -46,114 +48,139 @@ CELLS = 2_000_000
 
 
 def _batches(docs: DataFrame) -> DataFrame:
-    """Two kinds of rows of a batch: (batch, id, chunk) per chunk, and (batch, groups, blob) with its documents."""
-    schema = pa.schema(
-        [
-            ("batch", pa.int64()), ("id", pa.int32()), ("chunk", pa.string()),
-            ("groups", pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string())]))), ("blob", pa.binary()),
-        ]
-    )
-
-    def rows(texts, langs, sources):
-        number = uuid.uuid4().int >> 65
-        ids, groups = defaultdict(), defaultdict()
-        ids.default_factory, groups.default_factory = ids.__len__, groups.__len__
-        words, sizes, group_of = [], [], []
-        for text, *group in zip(texts, langs, sources):
-            found = [ids[c] for c in text.encode().split()]  # bytes split at the six ASCII blanks
-            words.append(np.array(found, np.int64))
-            sizes.append(len(found))
-            group_of.append(groups[tuple(group)])
-        width = max(len(ids), 1)
-        keys = np.repeat(np.arange(len(sizes)), sizes) * width + np.concatenate(words)
-        keys, counts = np.unique(keys, return_counts=True)
-        blob = pack(np.array(group_of, np.int32), (keys // width).astype(np.int32), (keys % width).astype(np.int32), counts)
-        told = [{"lang": a, "source": b} for a, b in groups]
-        yield pa.RecordBatch.from_pylist([{"batch": number, "groups": told, "blob": blob}], schema)
-        chunks = pa.array(list(ids), pa.binary()).cast(pa.string())
-        n = len(chunks)
-        whole = [pa.array(np.full(n, number)), pa.array(np.arange(n, dtype=np.int32)), chunks, pa.nulls(n, schema[3].type), pa.nulls(n, pa.binary())]
-        table = pa.RecordBatch.from_arrays(whole, schema=schema)
-        for at in range(0, n, 50_000):
-            yield table.slice(at, 50_000)
+    """(batch, blob): the groups, chunks and documents of a batch, as one compressed value."""
+    schema = pa.schema([("batch", pa.int64()), ("blob", pa.binary())])
+
+    def packed(ids, groups, group_of, found):
+        order = sorted(range(len(found)), key=group_of.__getitem__)  # documents of a group stand together
+        chunk = np.concatenate([found[k][0] for k in order]).astype(np.int32)
+        blob = pack(
+            np.frombuffer(json.dumps(list(groups)).encode(), np.uint8), np.frombuffer(b"\n".join(ids), np.uint8),
+            np.array([group_of[k] for k in order], np.int32), np.array([len(found[k][0]) for k in order], np.int32),
+            np.diff(chunk, prepend=np.int32(0)), np.concatenate([found[k][1] for k in order]).astype(np.int32),
+        )
+        return pa.RecordBatch.from_pylist([{"batch": uuid.uuid4().int >> 65, "blob": blob}], schema)
 
     def run(parts):
-        held, size = ([], [], []), 0
+        def start():
+            ids, groups = defaultdict(), defaultdict()
+            ids.default_factory, groups.default_factory = ids.__len__, groups.__len__
+            return ids, groups, [], []
+
+        held, size = start(), 0
         for part in parts:
-            for row in zip(*[part.column(c).to_pylist() for c in ("text", "lang", "source")]):
-                for column, value in zip(held, row):
-                    column.append(value)
-                size += len(row[0]) + 1
+            texts = part.column("text").cast(pa.binary())
+            for text, *group in zip(texts, part.column("lang").to_pylist(), part.column("source").to_pylist()):
+                ids, groups, group_of, found = held
+                raw = text.as_py()
+                group_of.append(groups[tuple(group)])
+                # bytes are split at the six ASCII blanks
+                found.append(np.unique(np.array([ids[c] for c in raw.split()], np.int32), return_counts=True))
+                size += len(raw) + 1
                 if size >= BATCH_BYTES:
-                    yield from rows(*held)
-                    held, size = ([], [], []), 0
-        if held[0]:
-            yield from rows(*held)
+                    yield packed(*held)
+                    held, size = start(), 0
+        if held[-1]:
+            yield packed(*held)
+
+    return docs.mapInArrow(run, "batch long, blob binary")
+
 
-    return docs.mapInArrow(run, "batch long, id int, chunk string, groups array<struct<lang:string,source:string>>, blob binary")
+def _unpacked(blob: bytes) -> tuple:
+    """Groups, chunks, and per document its group, number of chunks, chunks and counts."""
+    named, chunks, group_of, many, chunk, n = unpack(blob, np.uint8, np.uint8, np.int32, np.int32, np.int32, np.int32)
+    own = chunks.tobytes().split(b"\n") if len(chunks) else []
+    return json.loads(named.tobytes()), own, group_of, many, np.cumsum(chunk, dtype=np.int32), n
 
 
-def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """(chunk, terms) of each different chunk with terms: its terms in order, A-Z folded."""
-    terms = F.regexp_extract_all(fold(F.col("chunk")), F.lit(TERM), F.lit(0))
-    return chunks.select("chunk").distinct().select("chunk", terms.alias("terms")).where(F.size("terms") > 0)
+def _chunks(batches: DataFrame) -> DataFrame:
+    """(chunk, batch, id) of the different chunks of each batch."""
+    schema = pa.schema([("chunk", pa.string()), ("batch", pa.int64()), ("id", pa.int32())])
+
+    def run(parts):
+        for part in parts:
+            for number, blob in zip(part.column("batch").to_pylist(), part.column("blob")):
+                own = _unpacked(blob.as_py())[1]
+                for at in range(0, len(own), 50_000):
+                    some = pa.array(own[at : at + 50_000], pa.binary()).cast(pa.string())
+                    place = np.arange(at, at + len(some), dtype=np.int32)
+                    yield pa.RecordBatch.from_arrays([some, pa.array(np.full(len(some), number)), pa.array(place)], schema=schema)
+
+    return batches.mapInArrow(run, "chunk string, batch long, id int")
+
+
+def _answers(asked: DataFrame) -> DataFrame:
+    """(batch, id, terms) from (chunk, batch, id): chunks come sorted, and each different one is split once.
+
+    A chunk is in one partition with one narrow row per batch. Terms are joined with blanks;
+    a chunk that is one term and nothing else needs no answer. Bytes of terms are letters and
+    all of characters beyond ASCII, so bytes can be split as characters would be.
+    """
+    schema = pa.schema([("batch", pa.int64()), ("id", pa.int32()), ("terms", pa.string())])
+
+    def run(parts):
+        last, terms = None, b""
+        for part in parts:
+            chunks = part.column("chunk").cast(pa.binary())
+            changed = np.append(True, pc.not_equal(chunks[1:], chunks[:-1]).to_numpy(zero_copy_only=False))
+            heads = chunks.filter(pa.array(changed)).to_pylist()
+            found = [terms if k == 0 and c == last else b" ".join(c.lower().translate(NO_TERM).split()) for k, c in enumerate(heads)]
+            if found:
+                last, terms = heads[-1], found[-1]
+            place = np.cumsum(changed) - 1
+            told = np.array([c != t for c, t in zip(heads, found)], bool)[place]
+            every = pa.array(found, pa.binary()).cast(pa.string()).take(pa.array(place))
+            yield pa.RecordBatch.from_arrays([part.column("batch"), part.column("id"), every], schema=schema).filter(pa.array(told))
+
+    return asked.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, "batch long, id int, terms string")
 
 
 def _batch_counts(batches: DataFrame) -> DataFrame:
     """(lang, source, term, docs, occurrences) of every batch."""
-    asked = batches.where("chunk is not null").select("batch", "id", "chunk")
-    answers = asked.join(chunk_terms(asked), "chunk").select("batch", "id", "terms")
+    answers = _answers(_chunks(batches))
     none = F.lit(None)
-    documents = batches.where("chunk is null").select(
-        "batch", none.cast("int").alias("id"), none.cast("array<string>").alias("terms"), "groups", "blob"
-    )
-    kind = batches.schema["groups"].dataType
-    both = documents.unionByName(answers.withColumns({"groups": none.cast(kind), "blob": none.cast("binary")}))
+    documents = batches.select("batch", none.cast("int").alias("id"), none.cast("string").alias("terms"), "blob")
+    both = documents.unionByName(answers.withColumn("blob", none.cast("binary")))
     dealt = both.repartition("batch").sortWithinPartitions("batch", F.col("blob").isNull())
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("occurrences", pa.int64())])
 
-    def counted(groups, blob, ids, sizes, terms):
-        if not len(terms):
-            return
-        group_of, doc, chunk, n = unpack(blob, np.int32, np.int32, np.int32, np.int64)
-        coded = terms.dictionary_encode()
-        names, term = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-        # where the terms of each chunk number begin, and how many there are
-        most = int(max(chunk.max(), ids.max())) + 1
-        first, many = np.zeros(most, np.int64), np.zeros(most, np.int64)
-        first[ids], many[ids] = np.cumsum(sizes) - sizes, sizes
-        times = many[chunk]
-        inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        found = term[np.repeat(first[chunk], times) + inside]
-        docs, ndocs = np.repeat(doc, times), len(group_of)
-        key = (group_of[docs].astype(np.int64) * len(names) + found) * ndocs + docs
-        order = np.argsort(key, kind="stable")
-        key, weight = key[order], np.repeat(n, times)[order]
-        cell = key // ndocs
-        new_doc = np.append(True, key[1:] != key[:-1])
-        heads = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
-        at, cell = heads, cell[heads]
-        langs, sources = ([g[k] for g in groups] for k in ("lang", "source"))
-        group = cell // len(names)
-        out = pa.RecordBatch.from_arrays(
-            [
-                pa.array(langs, pa.string()).take(pa.array(group)), pa.array(sources, pa.string()).take(pa.array(group)),
-                names.take(pa.array(cell % len(names))),
-                pa.array(np.add.reduceat(new_doc.astype(np.int64), at)), pa.array(np.add.reduceat(weight, at)),
-            ],
-            schema=schema,
-        )
-        for k in range(0, len(out), 50_000):
-            yield out.slice(k, 50_000)
+    def counted(blob, ids, answers):
+        groups, own, group_of, many, chunk, n = _unpacked(blob)
+        lists = [t.split() for t in answers]
+        coded = pa.array([*own, *[t for terms in lists for t in terms]], pa.binary()).dictionary_encode()
+        names, codes = coded.dictionary.cast(pa.string()), coded.indices.to_numpy()
+        # where the terms of each chunk stand among the codes, and how many they are
+        first, size = np.arange(len(own)), np.ones(len(own), np.int64)
+        size[ids] = [len(terms) for terms in lists]
+        first[ids] = len(own) + np.cumsum(size[ids]) - size[ids]
+        ends = np.cumsum(many)
+        starts = np.append(np.flatnonzero(np.append(True, np.diff(group_of) != 0)), len(group_of))
+        for a, b in zip(starts, starts[1:]):
+            part = slice(ends[a] - many[a], ends[b - 1])
+            times = size[chunk[part]]
+            inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            if not len(inside):
+                continue
+            found = codes[np.repeat(first[chunk[part]], times) + inside].astype(np.int64)
+            key = found * (b - a) + np.repeat(np.repeat(np.arange(b - a), many[a:b]), times)
+            order = np.argsort(key)
+            key, weight = key[order], np.repeat(n[part], times)[order].astype(np.int64)
+            term = key // (b - a)
+            new_doc = np.append(True, key[1:] != key[:-1]).astype(np.int64)
+            heads = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
+            lang, source = groups[group_of[a]]
+            whole = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * len(heads), pa.string()), pa.array([source] * len(heads), pa.string()), names.take(pa.array(term[heads])),
+                    pa.array(np.add.reduceat(new_doc, heads)), pa.array(np.add.reduceat(weight, heads)),
+                ],
+                schema=schema,
+            )
+            for k in range(0, len(whole), 50_000):
+                yield whole.slice(k, 50_000)
 
     def run(parts):
-        current, documents, held = None, None, []
-
-        def close():
-            if held:
-                ids, sizes, terms = zip(*held)
-                yield from counted(*documents, np.concatenate(ids), np.concatenate(sizes), pa.chunked_array(terms).combine_chunks())
-
+        current, blob, ids, answers = None, None, [], []
         for part in parts:
             numbers = part.column("batch").to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
@@ -162,14 +189,14 @@ def _batch_counts(batches: DataFrame) -> DataFrame:
                     continue
                 piece = part.slice(a, b - a)
                 if numbers[a] != current:
-                    yield from close()
-                    current, held = numbers[a], []
-                    documents = piece.column("groups")[0].as_py(), piece.column("blob")[0].as_py()
+                    if current is not None:
+                        yield from counted(blob, np.array(ids, np.int64), answers)
+                    current, blob, ids, answers = numbers[a], piece.column("blob")[0].as_py(), [], []
                     piece = piece.slice(1)
-                if len(piece):
-                    lists = piece.column("terms")
-                    held.append((piece.column("id").to_numpy(), np.diff(lists.offsets.to_numpy()), lists.flatten()))
-        yield from close()
+                ids.extend(piece.column("id").to_pylist())
+                answers.extend(piece.column("terms").cast(pa.binary()).to_pylist())
+        if current is not None:
+            yield from counted(blob, np.array(ids, np.int64), answers)
 
     return dealt.mapInArrow(run, "lang string, source string, term string, docs long, occurrences long")
 
@@ -179,7 +206,8 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     read = docs.select(
         *[F.coalesce(docs[c].cast("string"), F.lit("")).alias(name) for c, name in ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))]
     )
-    parts = _batch_counts(stage(_batches(read)))
+    # dealt by language and term, so that sums over sources need no further shuffle
+    parts = _batch_counts(stage(_batches(read))).repartition("lang", "term")
     return parts.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("occurrences").alias("occurrences"))
 
 
