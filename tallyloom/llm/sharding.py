@@ -12,8 +12,7 @@ slots plus the place in the own slot, so no task ever sorts a shard.
 
 Defined results: a null text has no bytes and the checksum of the empty text, every record
 counts one byte more; a null id is hashed as the text "null"; records are dealt by id and
-checksum, so different texts under one id spread, and rows equal in both, in the same slot,
-have consecutive positions; a text is never split, so one that is larger than the mean
+checksum, so different texts under one id spread, and so do the copies of one record; a text is never split, so one that is larger than the mean
 makes its shard larger too; an empty table gives an empty result and a map of empty slots.
 """
 
@@ -30,16 +29,23 @@ SHARDS = 16
 
 
 def record_slots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, vslot, copies): one row per different record."""
+    """(doc_id, size, text_crc32, vslot, copies, part): one row per different record, or several of a repeated one."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(
         docs[id_col].alias("doc_id"),
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text).alias("text_crc32"),
     )
-    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text_crc32").cast("string"))
-    vslot = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long") % slots
-    return rows.groupBy("doc_id", "size", "text_crc32", vslot.alias("vslot")).agg(F.count(F.lit(1)).alias("copies"))
+    counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
+    # copies of one record go to different slots, so that a record in a third of all rows spreads too
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("n"), F.lit(slots)) - 1)).alias("part")
+    parts = counted.select("*", part).withColumn("copies", F.ceil((F.col("n") - F.col("part")) / slots))
+    named = F.concat_ws(
+        ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text_crc32").cast("string"),
+        F.when(F.col("part") > 0, F.col("part").cast("string")),
+    )
+    vslot = F.conv(F.substring(F.md5(named), 1, 8), 16, 10).cast("long") % slots
+    return parts.select("doc_id", "size", "text_crc32", vslot.alias("vslot"), "copies", "part")
 
 
 def slot_loads(records: DataFrame) -> DataFrame:
@@ -115,13 +121,13 @@ def placed(records: DataFrame, slot_map: DataFrame) -> DataFrame:
     held = slot_loads(records).join(slot_map, "vslot")
     earlier = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
     starts = held.select("vslot", "shard", "version", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("vslot").orderBy(F.col("doc_id").asc_nulls_first(), "text_crc32", "size")
+    inside = Window.partitionBy("vslot").orderBy(F.col("doc_id").asc_nulls_first(), "text_crc32", "size", "part")
     upto = F.sum("copies").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     rows = records.withColumn("upto", upto)
     # one row per slot, SLOTS at most
     rows = rows.join(F.broadcast(starts), "vslot")
     first = F.col("start") + F.col("upto") - F.col("copies")
-    return rows.withColumn("slot", F.explode(F.sequence(first, first + F.col("copies") - 1))).drop("upto", "copies", "start")
+    return rows.withColumn("slot", F.explode(F.sequence(first, first + F.col("copies") - 1))).drop("upto", "copies", "start", "part")
 
 
 def shard_documents(
