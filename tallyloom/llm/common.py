@@ -49,19 +49,30 @@ def same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Col
     return out
 
 
+def carried(docs: DataFrame, text_col: str, **keys: str) -> DataFrame:
+    """(row, text_hash, key ...): each row of docs as one struct, so that its columns meet no others.
+
+    `keys` are the columns to join by, under names of their own.
+    """
+    return docs.select(
+        F.struct("*").alias("row"),
+        F.xxhash64(F.coalesce(docs[f"`{text_col}`"], F.lit(""))).alias("text_hash"),
+        *[docs[f"`{c}`"].alias(name) for name, c in keys.items()],
+    )
+
+
 def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns as they were, that the decisions (doc_id, text_hash) name.
 
     If the decisions have a column `one`, repeated rows give one row where it is true.
     """
     one = F.col("one") if "one" in decisions.columns else F.lit(False)
-    named = decisions.groupBy(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash")).agg(
-        F.bool_or(one).alias("__one")
+    named = decisions.groupBy(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).agg(
+        F.bool_or(one).alias("one")
     )
-    hashed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
-    joined = hashed.join(named, same(hashed, named, [(id_col, "__kept_id"), ("__text_hash", "__kept_hash")]))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    if "one" not in decisions.columns:
-        return joined.select(*columns)
-    single = joined.where("__one").dropDuplicates(["__kept_id", "__kept_hash"])
-    return joined.where("not __one").unionByName(single).select(*columns)
+    rows = carried(docs, text_col, doc_id=id_col)
+    joined = rows.join(named, same(rows, named, [("doc_id", "kept_id"), ("text_hash", "kept_hash")]))
+    if "one" in decisions.columns:
+        single = joined.where("one").dropDuplicates(["kept_id", "kept_hash"])
+        joined = joined.where("not one").unionByName(single)
+    return joined.select("row.*")

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import same, word_count
+from tallyloom.llm.common import carried, same, word_count
 from tallyloom.operators.hot import running_total
 from tallyloom.sources.stage import stage
 
@@ -134,17 +134,11 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows that the mix takes, as often as it takes them, all columns as they were."""
     taken = mix(docs, id_col, text_col, source_col, **options).where("copies > 0")
     # rows with one id, text and source are repeats of one document; what they are given is made from one of them
-    taken = taken.groupBy("doc_id", "text_hash", "source").agg(
-        F.sum("copies").alias("__n"), F.count(F.lit(1)).alias("__rows")
+    taken = taken.groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), F.col("source").alias("origin")).agg(
+        F.sum("copies").alias("n"), F.count(F.lit(1)).alias("repeats")
     )
-    taken = taken.select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("source").alias("__source"), "__n", "__rows"
-    )
-    hashed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
-    joined = hashed.join(
-        taken, same(hashed, taken, [(id_col, "__id"), ("__text_hash", "__hash"), (source_col, "__source")])
-    )
-    several = joined.where("__rows > 1").dropDuplicates(["__id", "__hash", "__source"])
-    both = joined.where("__rows = 1").unionByName(several)
-    both = both.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = carried(docs, text_col, doc_id=id_col, source=source_col)
+    joined = rows.join(taken, same(rows, taken, [("doc_id", "id"), ("text_hash", "hash"), ("source", "origin")]))
+    several = joined.where("repeats > 1").dropDuplicates(["id", "hash", "origin"])
+    both = joined.where("repeats = 1").unionByName(several)
+    return both.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy")).select("row.*")

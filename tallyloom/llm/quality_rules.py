@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import BLANK_CHARS, BLANKS, keep_rows, let, same, text_of
+from tallyloom.llm.common import BLANK_CHARS, BLANKS, carried, keep_rows, let, same, text_of
 from tallyloom.sources.stage import stage
 
 SYMBOLS = "#*$%&|<>"
@@ -210,11 +210,11 @@ def cleaned(
     """The documents that pass, their texts without the common lines; all other columns as they were."""
     passed = _judged(docs, id_col, text_col, host_col, share, least, copies).where("kept")
     # repeated rows have the same lines
-    named = passed.groupBy(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash")).agg(
-        F.first("common_lines").alias("__gone")
+    named = passed.groupBy(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).agg(
+        F.first("common_lines").alias("gone")
     )
-    hashed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
-    joined = hashed.join(named, same(hashed, named, [(id_col, "__kept_id"), ("__text_hash", "__kept_hash")]))
-    gone = F.coalesce("__gone", F.array().cast("array<int>"))
-    texts = joined.withColumn(text_col, without_lines(F.col(f"`{text_col}`"), gone))
-    return texts.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = carried(docs, text_col, doc_id=id_col, text=text_col)
+    joined = rows.join(named, same(rows, named, [("doc_id", "kept_id"), ("text_hash", "kept_hash")]))
+    gone = F.coalesce("gone", F.array().cast("array<int>"))
+    texts = joined.select(F.col("row").withField(f"`{text_col}`", without_lines(F.col("text"), gone)).alias("row"))
+    return texts.select("row.*")
