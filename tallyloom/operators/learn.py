@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -17,7 +18,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.arrays import best_class
@@ -58,8 +59,32 @@ def perceptron(width: int, classes: int, hidden: tuple[int, ...] = (32,), rounds
     return MultilayerPerceptronClassifier(layers=[width, *hidden, classes], maxIter=rounds, seed=seed)
 
 
+@dataclass
+class ClassModel:
+    """A fitted model with the places of its outputs in a fixed list of classes.
+
+    Labels are places in that list, 0 to classes - 1. A model knows only the classes of the
+    rows that it was fitted on; the others get a score of 0 in their place. Without a model
+    the one class there was gets everything, and with no class at all every score is 0.
+    """
+
+    model: Model | None
+    seen: list[int]
+    classes: int
+
+    def scores(self, outputs: Column | None) -> Column:
+        """Scores in order of the class list from the outputs of the model."""
+        if outputs is None:
+            return F.array(*[F.lit(1.0 if k in self.seen else 0.0) for k in range(self.classes)])
+        # a network may have more outputs than it saw classes
+        total = F.aggregate(F.slice(outputs, 1, len(self.seen)), F.lit(0.0), lambda a, b: a + b)
+        scale = F.when(F.size(outputs) > len(self.seen), total).otherwise(F.lit(1.0))
+        place = {k: i for i, k in enumerate(self.seen)}
+        return F.array(*[F.try_divide(outputs[place[k]], scale) if k in place else F.lit(0.0) for k in range(self.classes)])
+
+
 def class_scores(model: Model) -> Column:
-    """Class probabilities of a scored row as an array.
+    """Class probabilities of a scored row as an array, in the order of the model's outputs.
 
     One-against-rest models give margins only; their logistic values are scaled to sum 1.
     """
@@ -69,12 +94,35 @@ def class_scores(model: Model) -> Column:
     return F.transform(odds, lambda o: o / F.aggregate(odds, F.lit(0.0), lambda a, b: a + b))
 
 
-def score(model: Model, rows: DataFrame, name: str = "scores", keep: tuple[str, ...] = ()) -> DataFrame:
+def score(model: ClassModel, rows: DataFrame, name: str = "scores", keep: tuple[str, ...] = ()) -> DataFrame:
     """Class scores of the rows. The name of the score column must differ from the kept columns."""
-    return model.transform(rows).select("uid", *keep, class_scores(model).alias(name))
+    if model.model is None:
+        return rows.select("uid", *keep, model.scores(None).alias(name))
+    outputs = model.model.transform(rows).select("uid", *keep, class_scores(model.model).alias(f"_{name}"))
+    return outputs.select("uid", *keep, model.scores(F.col(f"_{name}")).alias(name))
 
 
-def fit_folds(rows: DataFrame, make: Callable[[], Estimator], folds: int = 5, parallel: int = 5) -> list[Model]:
+def seen_classes(rows: DataFrame, classes: int) -> list[int]:
+    """The labels that occur, in order; a label outside the class list is an error."""
+    label = F.col("label").cast("double")
+    inside = label.isNotNull() & (label >= 0) & (label < classes) & (label == F.floor(label))
+    wrong = F.raise_error(F.concat(F.lit("no class of the list: "), F.coalesce(label.cast("string"), F.lit("null"))))
+    places = rows.select(F.when(inside, label.cast("int")).otherwise(wrong.cast("int")).alias("k")).distinct()
+    return sorted(r["k"] for r in places.collect())  # as many rows as there are classes
+
+
+def fit_classes(rows: DataFrame, make: Callable[[], Estimator], classes: int) -> ClassModel:
+    """A model of (label, features) that knows its place in the list of classes."""
+    seen = seen_classes(rows, classes)
+    if len(seen) < 2:
+        return ClassModel(None, seen, classes)
+    place = F.array_position(F.array(*[F.lit(k) for k in seen]), F.col("label").cast("int")) - 1
+    return ClassModel(make().fit(rows.withColumn("label", place.cast("double"))), seen, classes)
+
+
+def fit_folds(
+    rows: DataFrame, make: Callable[[], Estimator], classes: int, folds: int = 5, parallel: int = 5
+) -> list[ClassModel]:
     """One model per fold, fitted on the rows of all other folds (uid, label, fold, features).
 
     The fits are independent jobs; `parallel` of them share the cluster at a time.
@@ -82,8 +130,8 @@ def fit_folds(rows: DataFrame, make: Callable[[], Estimator], folds: int = 5, pa
     spark = rows.sparkSession
 
     @inheritable_thread_target(spark)
-    def fit(fold: int) -> Model:
-        return make().fit(rows.where(F.col("fold") != fold))
+    def fit(fold: int) -> ClassModel:
+        return fit_classes(rows.where(F.col("fold") != fold), make, classes)
 
     with ThreadPool(min(parallel, folds)) as pool:
         return pool.map(fit, range(folds))
@@ -94,13 +142,13 @@ def stage_folds(rows: DataFrame) -> DataFrame:
     return stage(rows.select("uid", "label", "features", "fold"), "fold")
 
 
-def out_of_fold(rows: DataFrame, models: list[Model]) -> DataFrame:
+def out_of_fold(rows: DataFrame, models: list[ClassModel]) -> DataFrame:
     """Scores of every row by the model that has not seen it: (uid, label, fold, scores)."""
     parts = [score(m, rows.where(F.col("fold") == f), keep=("label", "fold")) for f, m in enumerate(models)]
     return reduce(DataFrame.unionByName, parts)
 
 
-def mean_scores(rows: DataFrame, models: list[Model]) -> DataFrame:
+def mean_scores(rows: DataFrame, models: list[ClassModel]) -> DataFrame:
     """Mean of the scores of all fold models, in one pass and without a shuffle: (uid, scores)."""
     out = rows.select("uid", "features")
     names = [f"_scores_{i}" for i in range(len(models))]
@@ -117,14 +165,26 @@ def fold_accuracy(scored: DataFrame) -> DataFrame:
     return scored.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.avg(right).alias("accuracy"))
 
 
-def save_models(models: list[Model], folder: str) -> list[str]:
-    """One saved model per fold."""
+def save_models(models: list[ClassModel], folder: str, spark: SparkSession) -> list[str]:
+    """One folder per fold, with the model and the classes it knows."""
     paths = [f"{folder}/fold-{i}" for i in range(len(models))]
-    for model, path in zip(models, paths):
-        model.write().overwrite().save(path)
+    for m, path in zip(models, paths):
+        if m.model is not None:
+            m.model.write().overwrite().save(f"{path}/model")
+        known = spark.createDataFrame([(m.seen, m.classes, m.model is not None)], "seen array<int>, classes int, fitted boolean")
+        known.write.mode("overwrite").parquet(f"{path}/classes")
     return paths
 
 
+def load_models(paths: list[str], kind: type[Model], spark: SparkSession) -> list[ClassModel]:
+    """Models as save_models wrote them."""
+    known = [spark.read.parquet(f"{path}/classes").first() for path in paths]
+    return [
+        ClassModel(kind.load(f"{path}/model") if k["fitted"] else None, list(k["seen"]), k["classes"])
+        for path, k in zip(paths, known)
+    ]
+
+
 def split_counts(model: Model, spark, width: int) -> DataFrame:
     """How often the trees of a forest split on each feature: (feature, splits), 0 included.
 

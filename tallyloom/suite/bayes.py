@@ -44,7 +44,7 @@ def _score_sql(rows: str, fit: str, columns: list[str], own: bool) -> str:
 
 
 def _wide_sql(scores: str, value: str = "p", keep: str = "uid") -> str:
-    cells = ", ".join(f"max({value}) FILTER (label = {k}) AS p_{k}" for k in _labels)
+    cells = ", ".join(f"coalesce(max({value}) FILTER (label = {k}), 0.0) AS p_{k}" for k in _labels)
     return f"SELECT {keep}, {cells} FROM {scores} GROUP BY {keep}"
 
 
@@ -80,7 +80,7 @@ def _whole_label(scored: DataFrame) -> DataFrame:
 @query("oof_bayes", _out(f"SELECT uid, {whole('label')} AS label, fold, {_cells} FROM w JOIN (SELECT uid, label, fold FROM r) USING (uid)"))
 def oof_bayes(r):
     rows = _training(r)
-    return _wide(_whole_label(learn.out_of_fold(rows, learn.fit_folds(rows, learn.bayes))), "label", "fold")
+    return _wide(_whole_label(learn.out_of_fold(rows, learn.fit_folds(rows, learn.bayes, len(CLASSES)))), "label", "fold")
 
 
 @query(
@@ -90,27 +90,35 @@ def oof_bayes(r):
 def oof_bayes_fewer(r):
     """The variant with fewer blocks."""
     rows = _training(r, FEWER)
-    return _wide(_whole_label(learn.out_of_fold(rows, learn.fit_folds(rows, learn.bayes))), "label", "fold")
+    return _wide(_whole_label(learn.out_of_fold(rows, learn.fit_folds(rows, learn.bayes, len(CLASSES)))), "label", "fold")
 
 
 _best = "list_position([" + ", ".join(f"p_{k}" for k in _labels) + "], greatest(" + ", ".join(f"p_{k}" for k in _labels) + "))"
 
 
-@query(
-    "bayes_accuracy",
-    _out(f"""SELECT fold, count(*) AS n, {rounded(f"avg(CASE WHEN {_best} - 1 = label THEN 1.0 ELSE 0.0 END)", 6)} AS accuracy
-    FROM w JOIN (SELECT uid, label, fold FROM r) USING (uid) GROUP BY fold"""),
-)
+_accuracy_sql = _out(f"""SELECT fold, count(*) AS n, {rounded(f"avg(CASE WHEN {_best} - 1 = label THEN 1.0 ELSE 0.0 END)", 6)} AS accuracy
+    FROM w JOIN (SELECT uid, label, fold FROM r) USING (uid) GROUP BY fold""")
+
+
+@query("bayes_accuracy", _accuracy_sql)
 def bayes_accuracy(r):
     rows = _training(r)
-    found = learn.fold_accuracy(learn.out_of_fold(rows, learn.fit_folds(rows, learn.bayes)))
+    found = learn.fold_accuracy(learn.out_of_fold(rows, learn.fit_folds(rows, learn.bayes, len(CLASSES))))
     return found.withColumn("accuracy", round_even(F.col("accuracy"), 6))
 
 
+@query("fold_score_table", _accuracy_sql)
+def fold_score_table(r):
+    """The accuracy of the fold models written as a table and read back."""
+    path = stage_path(r.spark, "fold-scores")
+    tables.write_fold_scores(bayes_accuracy(r), path)
+    return tables.read_csv(r.spark, path, "fold bigint, n bigint, accuracy double")
+
+
 _others = "SELECT attributes.* FROM attributes JOIN unlabelled USING (uid)"
 _mean_parts = {
     "r": _rows, "m": _fit_sql("r", FEATURES), "o": _others, "s": _score_sql("o", "m", FEATURES, False),
-    "a": "SELECT uid, label, avg(p) AS p FROM s GROUP BY uid, label", "w": _wide_sql("a"),
+    "a": f"SELECT uid, label, sum(p) / {FOLDS}.0 AS p FROM s GROUP BY uid, label", "w": _wide_sql("a"),
 }
 _mean_sql = with_parts(f"SELECT uid, {_cells} FROM w", "attributes", "labelled", "unlabelled", **_mean_parts)
 
@@ -122,15 +130,15 @@ def _unlabelled(r) -> DataFrame:
 @query("bayes_mean_scores", _mean_sql)
 def bayes_mean_scores(r):
     rows = _training(r)
-    return _wide(learn.mean_scores(_unlabelled(r), learn.fit_folds(rows, learn.bayes)))
+    return _wide(learn.mean_scores(_unlabelled(r), learn.fit_folds(rows, learn.bayes, len(CLASSES))))
 
 
 @query("bayes_saved", _mean_sql)
 def bayes_saved(r):
     """Fold models saved, loaded again and applied; their scores written and read as a table."""
     folder = stage_path(r.spark, "models")
-    paths = learn.save_models(learn.fit_folds(_training(r), learn.bayes), folder)
-    scores = learn.mean_scores(_unlabelled(r), [NaiveBayesModel.load(p) for p in paths])
+    paths = learn.save_models(learn.fit_folds(_training(r), learn.bayes, len(CLASSES)), folder, r.spark)
+    scores = learn.mean_scores(_unlabelled(r), learn.load_models(paths, NaiveBayesModel, r.spark))
     tables.write_scores(scores, f"{folder}/scores", len(CLASSES))
     return _wide(tables.read_scores(r.spark, f"{folder}/scores", len(CLASSES)))
 
@@ -142,7 +150,7 @@ def bayes_saved(r):
 def bayes_labels(r):
     """Labels of the users without one, by the mean of the fold models."""
     rows = _training(r)
-    return route.labels_of(learn.mean_scores(_unlabelled(r), learn.fit_folds(rows, learn.bayes))).orderBy("id")
+    return route.labels_of(learn.mean_scores(_unlabelled(r), learn.fit_folds(rows, learn.bayes, len(CLASSES)))).orderBy("id")
 
 
 _meta_names = [f"{b}_{k}" for b in ("all", "few") for k in _labels]
@@ -166,12 +174,12 @@ def bayes_stacked(r):
     rows = _training(r)
     few = _training(r, FEWER)
     parts = [
-        learn.out_of_fold(t, learn.fit_folds(t, learn.bayes)).select("uid", F.lit(name).alias("model"), "scores")
+        learn.out_of_fold(t, learn.fit_folds(t, learn.bayes, len(CLASSES))).select("uid", F.lit(name).alias("model"), "scores")
         for name, t in (("all", rows), ("few", few))
     ]
     meta = stacking.stacked_rows(rows, reduce(DataFrame.unionByName, parts), ["all", "few"], len(CLASSES))
     meta = learn.stage_folds(meta.join(rows.select("uid", "label", "fold"), "uid"))
-    return _wide(_whole_label(learn.out_of_fold(meta, learn.fit_folds(meta, learn.bayes))), "label", "fold")
+    return _wide(_whole_label(learn.out_of_fold(meta, learn.fit_folds(meta, learn.bayes, len(CLASSES)))), "label", "fold")
 
 
 @query(
@@ -210,6 +218,6 @@ def bayes_two_populations(r):
         rows = _vectors(r, FEATURES).join(labelled, "uid")
         keys = population.stratified_folds(rows.select("uid", "label"), FOLDS)
         rows = learn.stage_folds(rows.drop("label").join(keys, "uid").withColumn("label", (F.col("label") - 1).cast("double")))
-        scored = learn.out_of_fold(rows, learn.fit_folds(rows, learn.bayes))
+        scored = learn.out_of_fold(rows, learn.fit_folds(rows, learn.bayes, len(CLASSES)))
         parts.append(_wide(scored).select(F.lit(name).alias("population"), "uid", *[f"p_{k}" for k in _labels]))
     return reduce(DataFrame.unionByName, parts)

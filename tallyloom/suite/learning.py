@@ -35,7 +35,7 @@ def _wide(scored: DataFrame, *keep: str) -> DataFrame:
 
 def _oof(r, make) -> DataFrame:
     rows = stacking.folded_vectors(r.vectors())
-    return learn.out_of_fold(rows, learn.fit_folds(rows, make))
+    return learn.out_of_fold(rows, learn.fit_folds(rows, make, CLASSES))
 
 
 @query("oof_forest")
@@ -60,7 +60,7 @@ def fold_mean_scores(r):
     vectors = r.vectors()
     rows = stacking.folded_vectors(vectors.join(seen, "uid", "left_anti"))
     others = vectors.join(seen, "uid", "left_semi").drop("label")
-    return _wide(learn.mean_scores(others, learn.fit_folds(rows, _forest)))
+    return _wide(learn.mean_scores(others, learn.fit_folds(rows, _forest, CLASSES)))
 
 
 @query("feature_select")
@@ -73,13 +73,13 @@ def feature_select(r):
 def stacked_scores(r):
     rows = stacking.folded_vectors(r.vectors())
     empty = rows.where(F.lit(False)).select("uid", "features")
-    parts = [stacking.base_scores(rows, empty, make, name)[0] for name, make in (("forest", _forest), ("mlp", _perceptron))]
+    parts = [stacking.base_scores(rows, empty, make, name, CLASSES)[0] for name, make in (("forest", _forest), ("mlp", _perceptron))]
     meta = stacking.stacked_rows(rows, reduce(DataFrame.unionByName, parts), ["forest", "mlp"], CLASSES)
     meta = meta.join(rows.select("uid", "label", "fold"), "uid")
     chosen = stacking.chosen_features(meta, _forest, WIDTH + 2 * CLASSES)
     slim = assemble.slice_vector(meta, chosen).select("uid", "label", "fold", F.col("selected").alias("features"))
     slim = learn.stage_folds(slim)
-    return _wide(learn.out_of_fold(slim, learn.fit_folds(slim, _forest)), "label", "fold")
+    return _wide(learn.out_of_fold(slim, learn.fit_folds(slim, _forest, CLASSES)), "label", "fold")
 
 
 def _user_classifier(width: int):

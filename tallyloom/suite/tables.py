@@ -8,7 +8,7 @@ from tallyloom.plans import stacking
 from tallyloom.sources import tables
 from tallyloom.sources.stage import stage_path
 from tallyloom.suite import routing
-from tallyloom.suite.learning import WIDTH, _forest
+from tallyloom.suite.learning import CLASSES, WIDTH, _forest
 from tallyloom.suite.registry import SQL, query, real, with_parts
 
 _CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -104,8 +104,8 @@ def saved_models(r):
 
     rows = stacking.folded_vectors(r.vectors(), folds=2)
     folder = stage_path(r.spark, "models")
-    paths = learn.save_models(learn.fit_folds(rows, _forest, 2), folder)
-    loaded = [RandomForestClassificationModel.load(p) for p in paths]
+    paths = learn.save_models(learn.fit_folds(rows, _forest, CLASSES, 2), folder, r.spark)
+    loaded = learn.load_models(paths, RandomForestClassificationModel, r.spark)
     accuracy = learn.fold_accuracy(learn.out_of_fold(rows, loaded))
     tables.write_fold_scores(accuracy, f"{folder}/accuracy")
     return tables.read_csv(r.spark, f"{folder}/accuracy", "fold bigint, n bigint, accuracy double")
