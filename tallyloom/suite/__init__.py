@@ -14,6 +14,7 @@ MODULES = (
     "assembly",
     "learning",
     "bayes",
+    "boosted",
     "routing",
     "tables",
 )
