@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import round_even
-from tallyloom.operators import assemble, learn, population, priors
+from tallyloom.operators import assemble, learn, population, priors, sequence, sparse_net, text, usage
 from tallyloom.plans import blocks, pipeline, stacking
 from tallyloom.sources.roles import CLASSES as USER_CLASSES
 from tallyloom.sources.roles import ATTRIBUTES, COUNTERS, CROSSES, PART_TYPES, PRIORITIES
@@ -53,6 +53,34 @@ def fold_accuracy(r):
     return learn.fold_accuracy(_oof(r, _forest))
 
 
+NET = sparse_net.Settings(classes=len(USER_CLASSES))
+
+
+def _oof_net(r, entries: DataFrame) -> DataFrame:
+    """Out-of-fold scores of a network on rows (doc, token, value) of the labelled users."""
+    keys = population.stratified_folds(r.labelled())
+    users = stage(keys.select("uid", (F.col("label") - 1).cast("int").alias("label"), "fold"))
+    entries = stage(entries.toDF("uid", "slot", "value").join(users.select("uid"), "uid", "left_semi"))
+    scored = sparse_net.out_of_fold(users, entries, sparse_net.train(users, entries, NET))
+    cells = [round_even(F.col("scores").getItem(i), 6).alias(f"p_{i}") for i in range(NET.classes)]
+    return scored.select("uid", F.col("label").cast("long").alias("label"), "fold", *cells)
+
+
+@query("oof_dense_counts")
+def oof_dense_counts(r):
+    """A dense network on counts of the installed apps, as wide as their vocabulary."""
+    pairs = r.installed_pairs().select(F.col("uid").alias("doc"), F.col("app").cast("string").alias("token"))
+    return _oof_net(r, text.count_rows(pairs).select("doc", "token", F.col("tf").cast("double").alias("value")))
+
+
+@query("oof_dense_tfidf")
+def oof_dense_tfidf(r):
+    """The same on the TF-IDF weights of the used apps."""
+    used = sequence.replicate(usage.app_totals(r.usage()))
+    rows = used.select(F.col("uid").alias("doc"), F.col("app").cast("string").alias("token"))
+    return _oof_net(r, text.tfidf_rows(rows).select("doc", "token", F.col("weight").alias("value")))
+
+
 @query("fold_mean_scores")
 def fold_mean_scores(r):
     """Rows with a quality label of the same id count as unseen here."""
