@@ -1,11 +1,10 @@
 """Quality rules: rules on the words of a text, and cross-document line frequency.
 
-Lines are normalised and hashed; a line that more than `share` of the different texts of a
-host hold, and at least `least` of them, is boilerplate there; judge counts its words, cleaned
-takes it out of the text, drop_poor leaves the texts as they were. A document
-is rejected if the rules on its own words fail, or if it is depleted: too few of its words
-are left without the boilerplate. Exact copies are one text, so they never make their own
-lines boilerplate; with `copies` every row counts instead, as the SQL of op4 says it.
+Lines are normalised and hashed; a line in `least` different texts of a host is boilerplate
+there, however large the host is; judge counts its words, cleaned takes it out of the text,
+drop_poor leaves the texts as they were. A document is rejected if the rules on its own words
+fail, or if it is depleted: too few of its words are left without the boilerplate. Exact
+copies are one text, so they never make their own lines boilerplate.
 
 Counts combine before the shuffle, one row per document and different line. A line in few
 rows is in few texts, so texts are only told apart for lines in `least` rows or more. A line
@@ -13,7 +12,8 @@ common enough to be hot is what the search is for; its rows are joined to the sh
 of common lines, and adaptive execution broadcasts that list or splits the hot key.
 
 Defined results: a null or empty text has no words and fails; a null host is a host of
-its own; repeated rows are judged alike.
+its own; repeated rows are judged alike; a text of any length is read whole, in one task; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,9 +28,8 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
-# A common line is in this share of the different texts of its host, and in this many.
-LINE_SHARE = 0.1
-LINE_DOCS = 50
+# A common line is in this many different texts of its host.
+LINE_TEXTS = 50
 # A document is depleted if less than this share of its words is left, or fewer than MIN_WORDS.
 WORDS_LEFT = 0.3
 
@@ -122,7 +121,7 @@ def own_rules(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def common_line_words(
-    docs: DataFrame, id_col: str, text_col: str, host_col: str, share: float, least: int, copies: bool
+    docs: DataFrame, id_col: str, text_col: str, host_col: str, least: int
 ) -> DataFrame:
     """(doc_id, text_hash, common_words, common_lines): words in lines that are common in the host, and their places in order.
 
@@ -146,18 +145,10 @@ def common_line_words(
     # a document counts once for a line, however often it repeats it
     in_docs = rows.select("host", F.explode(F.array_distinct("lines.line")).alias("line"))
     counts = in_docs.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    if copies:
-        hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
-    else:
-        lines_in_many = stage(among(lines, counts))
-        in_texts = lines_in_many.select("host", "line", "text_hash").distinct()
-        counts = in_texts.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-        hosts = lines.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
-        lines = lines_in_many
-    common = counts.join(hosts.withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host"))).where(
-        F.col("n") > share * F.col("docs")
-    )
-    hit = among(lines, common)
+    lines_in_many = stage(among(lines, counts))
+    in_texts = lines_in_many.select("host", "line", "text_hash").distinct()
+    common = in_texts.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    hit = among(lines_in_many, common)
     # repeated rows name the same lines; they are judged once
     once = hit.select("doc_id", "text_hash", "pos", "words").distinct()
     return once.groupBy("doc_id", "text_hash").agg(
@@ -165,9 +156,9 @@ def common_line_words(
     )
 
 
-def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, share: float, least: int, copies: bool) -> DataFrame:
+def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, least: int) -> DataFrame:
     own = own_rules(docs, id_col, text_col)
-    shared = common_line_words(docs, id_col, text_col, host_col, share, least, copies).withColumnsRenamed(
+    shared = common_line_words(docs, id_col, text_col, host_col, least).withColumnsRenamed(
         {"doc_id": "_id", "text_hash": "_hash"}
     )
     both = own.join(shared, same(own, shared, [("doc_id", "_id"), ("text_hash", "_hash")]), "left").drop("_id", "_hash")
@@ -182,15 +173,10 @@ def judge(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
-    share: float = LINE_SHARE,
-    least: int = LINE_DOCS,
-    copies: bool = False,
+    least: int = LINE_TEXTS,
 ) -> DataFrame:
-    """One row per row of docs: the figures, base_failed, common_words and kept.
-
-    With `copies`, exact copies count as documents of their own when lines are counted.
-    """
-    return _judged(docs, id_col, text_col, host_col, share, least, copies).drop("common_lines")
+    """One row per row of docs: the figures, base_failed, common_words and kept."""
+    return _judged(docs, id_col, text_col, host_col, least).drop("common_lines")
 
 
 def drop_poor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
@@ -203,12 +189,10 @@ def cleaned(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
-    share: float = LINE_SHARE,
-    least: int = LINE_DOCS,
-    copies: bool = False,
+    least: int = LINE_TEXTS,
 ) -> DataFrame:
     """The documents that pass, their texts without the common lines; all other columns as they were."""
-    passed = _judged(docs, id_col, text_col, host_col, share, least, copies).where("kept")
+    passed = _judged(docs, id_col, text_col, host_col, least).where("kept")
     # repeated rows have the same lines
     named = passed.groupBy(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).agg(
         F.first("common_lines").alias("gone")

@@ -50,8 +50,8 @@ def op3(spark, folder):
     "op4_quality_rules",
     rf"""
 WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text, {WORD_LIST} AS words FROM documents),
-lines AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS raw FROM t),
-worded AS (SELECT doc_id, source, raw,
+lines AS (SELECT doc_id, source, md5(text) AS text_md5, unnest(string_split(text, chr(10))) AS raw FROM t),
+worded AS (SELECT doc_id, source, text_md5, raw,
     trim(regexp_replace(lower(raw), '[\x20\x09\x0B-\x0D]+', ' ', 'g')) AS line FROM lines
     WHERE regexp_matches(raw, '[^\x20\x09-\x0D]')),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n_dup_lines FROM worded GROUP BY doc_id),
@@ -59,9 +59,7 @@ windows AS (SELECT doc_id, i, words[i:i + 7] AS w FROM (SELECT doc_id, words, un
 twice AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS next
     FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows) WHERE n > 1),
 repeats AS (SELECT doc_id, sum(least(8, coalesce(next - i, 8))) AS n FROM twice GROUP BY doc_id),
-hosts AS (SELECT source, count(*) AS docs FROM documents GROUP BY source),
-common AS (SELECT w.source, line FROM worded w JOIN hosts h ON w.source IS NOT DISTINCT FROM h.source
-    GROUP BY w.source, line, docs HAVING count(DISTINCT doc_id) >= 50 AND count(DISTINCT doc_id) > 0.1 * docs),
+common AS (SELECT source, line FROM (SELECT DISTINCT source, line, text_md5 FROM worded) GROUP BY source, line HAVING count(*) >= 50),
 removed AS (SELECT doc_id, sum(len(string_split(w.line, ' '))) AS n FROM worded w
     JOIN common c ON w.line = c.line AND w.source IS NOT DISTINCT FROM c.source GROUP BY doc_id),
 f AS (SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words,
@@ -76,8 +74,7 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 """,
 )
 def op4(spark, folder):
-    # the SQL counts documents, copies or not
-    return quality_rules.judge(documents(spark, folder), copies=True).drop("text_hash")
+    return quality_rules.judge(documents(spark, folder)).drop("text_hash")
 
 
 @query("op5_jaccard_join")
@@ -233,9 +230,11 @@ d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
     CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
     unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE kind <> 0),
 o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i FROM d),
-f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
-    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault,
+    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault,
     lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS step FROM o),
 best AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS s, {{'cost': 0, 'audit': '', 'body': ''}} AS b FROM (SELECT DISTINCT conv_id FROM f)
     UNION ALL SELECT conv_id, i, s, min(b) AS b FROM (

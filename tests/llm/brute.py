@@ -54,6 +54,24 @@ def quality_base(text):
     )
 
 
+def cleaned(rows, least):
+    """(id, text) of the documents that pass, without the lines in `least` different texts of their host."""
+    plain = lambda line: re.sub("[ \t\x0b\x0c\r]+", " ", line.lower()).strip(" ")
+    texts = {}
+    for _, text, host in rows:
+        for line in {plain(x) for x in (text or "").split("\n")} - {""}:
+            texts.setdefault((host, line), set()).add(text)
+    out = []
+    for i, text, host in rows:
+        gone = lambda x, host=host: len(texts.get((host, plain(x)), ())) >= least
+        lines = (text or "").split("\n")
+        left = len(WORD.findall(text or "")) - sum(len(plain(x).split(" ")) for x in lines if plain(x) and gone(x))
+        n, *_, failed = quality_base(text)
+        if not failed and left >= 20 and left >= 0.3 * n:
+            out.append((i, "\n".join(x for x in lines if not (plain(x) and gone(x)))))
+    return out
+
+
 def talk_digests(turns):
     told = "".join(f"{r or ''}\n{t or ''}\n" for r, t in turns)
     learned = "".join(t or "" for r, t in turns if r == "assistant")
