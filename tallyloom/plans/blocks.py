@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators import attributes, categories, clean, encode, priors, ranking, stats, text, usage
 from tallyloom.operators.assemble import assemble, slot_vector, sparse_block, to_vector
+from tallyloom.operators.hot import lookup_join
+from tallyloom.operators.stats import dense_codes
 from tallyloom.sources.stage import stage
 
 
@@ -117,52 +121,58 @@ def base_block(
 ) -> DataFrame:
     """Codes, crosses, arithmetic, capacities, flags and label priors of the attribute table.
 
-    Missing attributes take their mode first. `capacities` names {prefix: (capacity, share left)}.
+    Missing attributes take their mode first. `capacities` names {prefix: (capacity, share left)};
+    what is left and used of them is coded too.
     """
     users = clean.mode_impute(clean.clamp_negative(users, counters), [*prior_attributes, *flags])
     users = attributes.cross_feature(attributes.capacity_left_used(users, capacities or {}), crosses)
     known = users.join(labelled, "uid")
     found = priors.attribute_priors(known, prior_attributes, classes)
-    crossed = priors.attribute_priors(known, list(crosses), classes, digits=2)
-    coded = encode.ordinal_encode(users, [*prior_attributes, *crosses])
+    room = [f"{prefix}_{part}" for prefix in capacities or {} for part in ("left", "used")]
+    coded = encode.ordinal_encode(users, [*prior_attributes, *crosses, *room])
     hot = encode.one_hot(coded, flags)
     with_priors = priors.prior_backjoin(hot, found, prior_attributes, classes)
-    with_priors = priors.prior_backjoin(with_priors, crossed, list(crosses), classes)
+    if crosses:
+        crossed = priors.attribute_priors(known, list(crosses), classes, digits=2)
+        with_priors = priors.prior_backjoin(with_priors, crossed, list(crosses), classes)
     out = attributes.behaviour_arithmetic(with_priors, boots, traffic, counters)
     texts = [c for c, t in out.dtypes if t == "string"]
     return out.drop(*texts).na.fill(0)
 
 
-def selected_flags(
+def fit_flags(
     users: DataFrame, labelled: DataFrame, classes: list[int], crosses: dict[str, list[str]], rules: dict[str, tuple]
-) -> dict[str, DataFrame]:
-    """One-hot vectors of the values of crosses that lean to a class: {name: (uid, vector)}.
+) -> DataFrame:
+    """The values of crosses that lean to a class among labelled users, with 1-based slots: (attr, value, slot).
 
-    `rules` are the bounds of `priors.select_values` per cross. A cross that selects
-    nothing gives no block.
+    `rules` are the bounds of `priors.select_values` per cross. This table is the encoder:
+    written and read again, it applies to any users.
     """
-    users = attributes.cross_feature(users, crosses)
-    known = users.join(labelled, "uid")
-    out = {}
+    known = attributes.cross_feature(users, crosses).join(labelled, "uid")
+    parts = []
     for cross in crosses:
         found = priors.select_values(priors.label_prior(known, [cross], classes, digits=2), classes, *rules[cross])
-        selected = stage(found.select(cross))
-        size = selected.count()
-        if size:
-            slots = encode.one_hot_selected(users.select("uid", cross), cross, selected)
-            out[f"{cross}_flags"] = slot_vector(slots, f"{cross}_slot", size, f"{cross}_flags")
-    return out
+        parts.append(found.select(F.lit(cross).alias("attr"), F.col(cross).alias("value")))
+    return dense_codes(reduce(DataFrame.unionByName, parts), ["attr"], "value", "slot")
 
 
-def token_block(pairs: DataFrame, users: DataFrame, min_df: float | int = 1, name: str = "tokens") -> DataFrame:
-    """TF-IDF weights of the apps of each user as one sparse vector: (uid, vector)."""
-    values = stage(text.tfidf_rows(pairs.select(F.col("uid").alias("doc"), F.col("app").cast("string").alias("token")), min_df))
-    slots = text.token_slots(values)
-    rows = text.with_slots(values, slots).select(F.col("doc").alias("uid"), "slot", F.col("weight").alias("value"))
-    return sparse_block(rows, users, slots.count(), name)
+def apply_flags(users: DataFrame, crosses: dict[str, list[str]], encoder: DataFrame) -> dict[str, DataFrame]:
+    """One-hot vectors of the values that the encoder knows: {name: (uid, vector)}.
 
+    Users with other values get zeros; a cross without selected values gives no block.
+    """
+    users = attributes.cross_feature(users, crosses)
+    sizes = {r["attr"]: r["n"] for r in encoder.groupBy("attr").agg(F.max("slot").alias("n")).collect()}  # a row per cross
+    out = {}
+    for cross, size in sizes.items():
+        slots = encoder.where(F.col("attr") == cross).select(F.col("value").alias(cross), "slot")
+        found = lookup_join(users.select("uid", cross), slots, cross).na.fill(0, ["slot"])
+        out[f"{cross}_flags"] = slot_vector(found, "slot", size, f"{cross}_flags")
+    return out
 
-def number_block(block: DataFrame, name: str) -> DataFrame:
-    """The numbers of a wide block as one vector: (uid, vector). Texts, such as app ids, are left out."""
-    numbers = [c for c, t in block.dtypes if c != "uid" and t != "string"]
-    return to_vector(block.na.fill(0.0, numbers), numbers, name)
+
+def selected_flags(
+    users: DataFrame, labelled: DataFrame, classes: list[int], crosses: dict[str, list[str]], rules: dict[str, tuple]
+) -> dict[str, DataFrame]:
+    """The encoder of fit_flags, fitted and applied to the same users."""
+    return apply_flags(users, crosses, stage(fit_flags(users, labelled, classes, crosses, rules)))

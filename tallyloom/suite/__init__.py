@@ -15,6 +15,7 @@ MODULES = (
     "learning",
     "bayes",
     "boosted",
+    "blocks",
     "routing",
     "tables",
 )

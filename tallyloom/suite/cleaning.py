@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from tallyloom.functions.numeric import round_even
 from tallyloom.operators import attributes, clean, stats, usage
 from tallyloom.operators.sequence import copies_by_duration
+from tallyloom.sources import tables
 from tallyloom.sources.roles import COUNTERS, CROSSES
+from tallyloom.sources.stage import stage_path
 from tallyloom.suite.registry import cross, binned, query, real, rounded, whole, with_parts
 
 SPEND_CUTS = [27000, 53000, 80000]  # near the quartiles of the spend per customer and part
@@ -113,6 +115,25 @@ def narrow_schema(r):
     return clean.type_report(r.table("lineitem"))
 
 
+_types = " || ', ' || ".join(f"(SELECT min('{c} ' || t) FROM (SELECT {_fit(c, kind)} AS t FROM lineitem))" for c, kind in _line_columns.items())
+
+
+@query(
+    "narrow_frame",
+    "SELECT "
+    + ", ".join(c if kind == "whole" else real(f"CAST({c} AS FLOAT)") + f" AS {c}" for c, kind in _line_columns.items())
+    + f", {_types} AS types FROM lineitem",
+)
+def narrow_frame(r):
+    """The narrowed table, written and read back by its own schema, with the types it has."""
+    path = stage_path(r.spark, "narrow")
+    tables.write_table(clean.narrow_schema(r.table("lineitem").select(*_line_columns)), path)
+    read = tables.read_table(r.spark, path)
+    types = ", ".join(f"{c} {t}" for c, t in read.dtypes)
+    wide = [F.col(c).cast("long" if _line_columns[c] == "whole" else "double").alias(c) for c in read.columns]
+    return read.select(*wide, F.lit(types).alias("types"))
+
+
 @query(
     "duration_bucket",
     with_parts(

@@ -156,13 +156,6 @@ def stacked_labels(r):
     return pipeline.final_labels(scores[0], scores[1], unlabelled, log)
 
 
-@query("base_block")
-def base_block(r):
-    """Numbers of the attribute block, rounded."""
-    flags = {"network": PRIORITIES, "carrier": ["F", "O", "P"]}
-    return _rounded(blocks.base_block(r.attributes(), r.labelled(), USER_CLASSES, ATTRIBUTES, COUNTERS, CROSSES, flags))
-
-
 @query("installed_block")
 def installed_block(r):
     pairs, names = r.installed_pairs(), r.name_categories()
