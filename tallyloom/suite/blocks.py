@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import round_even
-from tallyloom.operators import assemble, priors
+from tallyloom.operators import assemble, stats
 from tallyloom.plans import blocks
 from tallyloom.sources import tables
-from tallyloom.sources.roles import ATTRIBUTES, CLASSES, COUNTERS, CROSSES, PRIORITIES
+from tallyloom.sources.roles import ATTRIBUTES, CLASSES, COUNTERS, CROSSES, PART_TYPES, PRIORITIES
 from tallyloom.sources.stage import stage_path
-from tallyloom.suite import priors as prior_queries
-from tallyloom.suite.learning import _RULES
-from tallyloom.suite.priors import _crossed, _prior
+from tallyloom.suite.learning import _RULES, _SUPPORT
+from tallyloom.suite.priors import BASE, SHARES, _crossed, _owned, _prior, _rollup_cells, _weight, _weight_mean
 from tallyloom.suite.registry import cross, query, real, rounded, whole, with_parts
+from tallyloom.suite.registry import stats as stats_sql
 
 # Columns of the attribute table that users without orders lack.
 _HOLES = ["model", "colour", "network", "carrier", "font_size", "rom_capacity", "ram_capacity", "os", "city"]
@@ -118,3 +118,46 @@ def selected_flags(r):
         for name, block in found.items()
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def _installed_sql() -> str:
+    exact = ", ".join(f"CAST(share_{k} AS DECIMAL(10,4)) AS share_{k}, n_{k}" for k in CLASSES)
+    listed = " + ".join(f'"n_{v}"' for v in PART_TYPES)
+    rolled = [f"{c}_{k}_{s}" for k in CLASSES for c, more in (("share", ("mean_sq",)), ("n", ())) for s in (*stats.STATS, *more)]
+    weights = [f"weight_{s}" for s in (*stats.STATS, "mean_sq")]
+    cells = [
+        "uid", "apps", "ratio", *[f"typical_{k}" for k in CLASSES], *[f'"n_{v}"' for v in PART_TYPES], "n_listed",
+        *[f'"share_{v}"' for v in PART_TYPES], "categories",
+        *[f"coalesce({w}, 0) AS {w}" for w in weights], *[f"coalesce({c}, 0) AS app_{c}" for c in rolled],
+    ]
+    return with_parts(
+        f"SELECT {', '.join(cells)} FROM i JOIN ty USING (uid) JOIN sh USING (uid) JOIN w USING (uid) JOIN ro USING (uid)",
+        "installed", "labelled",
+        owned=_owned, coarse=_prior("app", "owned", 2), fine=_prior("app", "owned", 4, f"count(label) >= {_SUPPORT}"),
+        i=f"SELECT uid, count(*) AS apps, {rounded('count(*) / (SELECT count(DISTINCT app) FROM installed)', 6)} AS ratio FROM installed GROUP BY uid",
+        ty="SELECT uid, " + ", ".join(f"{whole(f'count(*) FILTER (share_{k} >= {t})')} AS typical_{k}" for k, t in zip(CLASSES, SHARES))
+        + " FROM installed LEFT JOIN coarse USING (app) GROUP BY uid",
+        # the first category of a name by place
+        first="SELECT p_name AS app, arg_min(p_type, p_partkey) AS category FROM part GROUP BY p_name",
+        ca="SELECT uid, coalesce(category, 'unknown') AS category FROM installed LEFT JOIN first USING (app)",
+        co="SELECT uid, count(DISTINCT category) AS categories, " + ", ".join(f"count(*) FILTER (category = '{v}') AS \"n_{v}\"" for v in PART_TYPES)
+        + " FROM ca GROUP BY uid",
+        sh=f"SELECT *, {listed} AS n_listed, " + ", ".join(f'coalesce({rounded(f"{chr(34)}n_{v}{chr(34)} / nullif({listed}, 0)", 6)}, 0) AS "share_{v}"' for v in PART_TYPES) + " FROM co",
+        w=f"""SELECT uid, {stats_sql("weight", "weight", 4)}, {rounded(f"{_weight_mean} * {_weight_mean}", 3)} AS weight_mean_sq
+            FROM installed LEFT JOIN (SELECT app, CAST({rounded(_weight, 6)} AS DECIMAL(18,6)) AS weight FROM coarse) USING (app) GROUP BY uid""",
+        ro=f"SELECT uid, {_rollup_cells()} FROM installed LEFT JOIN (SELECT app, {exact} FROM fine) USING (app) GROUP BY uid",
+    )
+
+
+@query("installed_block", _installed_sql())
+def installed_block(r):
+    """All features of the installed apps, rounded as the queries of its parts are."""
+    pairs, names = r.installed_pairs(), r.name_categories()
+    out = blocks.installed_block(pairs, names, r.labelled(), CLASSES, PART_TYPES, support=_SUPPORT, shares=SHARES, base=BASE, order="place")
+    out = out.withColumns({c: round_even(F.col(c), 6) for c in ["ratio", *[f"share_{v}" for v in PART_TYPES]]})
+    out = out.withColumn("weight_mean_sq", round_even(F.col("weight_mean_sq"), 3))
+    squares = out.select("uid", "weight_mean_sq")
+    out = stats.round_stats(out.drop("weight_mean_sq"), "weight", 4).join(squares, "uid")
+    for k in CLASSES:
+        out = stats.round_stats(out, f"app_share_{k}", 6, 4)
+    return out

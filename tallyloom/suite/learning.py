@@ -156,14 +156,6 @@ def stacked_labels(r):
     return pipeline.final_labels(scores[0], scores[1], unlabelled, log)
 
 
-@query("installed_block")
-def installed_block(r):
-    pairs, names = r.installed_pairs(), r.name_categories()
-    return _rounded(
-        blocks.installed_block(pairs, names, r.labelled(), USER_CLASSES, PART_TYPES, support=_SUPPORT, order="place")
-    )
-
-
 @query("usage_block")
 def usage_block(r):
     return _rounded(
