@@ -26,3 +26,25 @@ def stage(df: DataFrame, *partition_by: str) -> DataFrame:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_by_key(df: DataFrame, key: str = "uid", buckets: int | None = None) -> DataFrame:
+    """Write a table to the shared folder in buckets of a key, sorted by it.
+
+    Joins of such tables on the key need no exchange, however many there are: each is
+    shuffled once, when it is written. The table has a name of its own in the session
+    catalogue; `drop_staged` takes it out again.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"tallyloom_{uuid.uuid4().hex}"
+    rows = df.repartition(n, key)
+    rows.write.bucketBy(n, key).sortBy(key).option("path", stage_path(spark, "buckets")).saveAsTable(name)
+    return spark.table(name)
+
+
+def drop_staged(spark) -> None:
+    """Take the names of bucketed tables out of the session catalogue; their files stay until the folder is removed."""
+    for table in spark.catalog.listTables():
+        if table.name.startswith("tallyloom_") and not table.isTemporary:
+            spark.sql(f"DROP TABLE IF EXISTS {table.name}")

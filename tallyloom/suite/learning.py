@@ -13,7 +13,7 @@ from tallyloom.operators import assemble, learn, population, priors, sequence, s
 from tallyloom.plans import blocks, pipeline, stacking
 from tallyloom.sources.roles import CLASSES as USER_CLASSES
 from tallyloom.sources.roles import ATTRIBUTES, COUNTERS, CROSSES, PART_TYPES, PRIORITIES
-from tallyloom.sources.stage import stage
+from tallyloom.sources.stage import stage, stage_by_key
 from tallyloom.suite.registry import query
 
 CLASSES = 10
@@ -149,7 +149,8 @@ def stacked_labels(r):
         (everyone, labelled, unlabelled),
         ({**everyone, "usage": log_block}, population.present_in(labelled, log), population.present_in(unlabelled, log)),
     ):
-        parts = {name: stage(block) for name, block in parts.items()}
+        # in buckets of the same keys, so that the blocks of a population join without an exchange
+        parts = {name: stage_by_key(block) for name, block in parts.items()}
         width = sum(assemble.vector_size(block, name) for name, block in parts.items())
         bases = {"forest": _forest, "dense": lambda width=width: _user_classifier(width)}
         scores.append(pipeline.population_scores(parts, train, rest, bases, _forest, len(USER_CLASSES))[1])

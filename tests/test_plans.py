@@ -67,3 +67,27 @@ def test_texts_are_read_and_split_once(spark):
 def test_profile_reads_the_log_once(spark):
     plan = plan_of(usage.usage_profile(Roles(spark, SMALL).usage()))
     assert "lineitem" not in plan
+
+
+def test_bucketed_blocks_join_without_an_exchange(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from tallyloom.operators.assemble import assemble, hstack
+    from tallyloom.sources.stage import drop_staged, stage_by_key
+
+    wide = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = spark.range(200).select(F.col("id").alias("uid"))
+        blocks = [stage_by_key(base.where(F.col("uid") % k > 0).select("uid", (F.col("uid") * k).alias(f"x{k}"))) for k in range(2, 8)]
+        out = assemble(stage_by_key(base), blocks)
+        rows = out.collect()  # the final plan is known after the run
+        assert "Exchange" not in plan_of(out) and plan_of(out).count("SortMergeJoin") >= 6
+        assert len(rows) == 200 and all(r.x3 == (r.uid * 3 if r.uid % 3 else 0) for r in rows)
+        vectors = {f"v{k}": stage_by_key(b.select("uid", array_to_vector(F.array(F.col(b.columns[1]).cast("double"))).alias(f"v{k}"))) for k, b in enumerate(blocks)}
+        stacked = hstack(vectors, users=stage_by_key(base))
+        assert stacked.count() == 200 and "Exchange" not in plan_of(stacked)
+        drop_staged(spark)
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith("tallyloom_")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", wide)
