@@ -8,7 +8,8 @@ merged with a heap, which gives the same ids. The ranks, fixed by the tokenizer
 go to the executors once.
 
 Defined results: a null or empty text has no tokens; texts of any length are cut into
-pieces as a whole, never at a chunk border; every row gives one row.
+pieces as a whole, never at a chunk border; every row gives one row; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations

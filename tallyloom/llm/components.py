@@ -1,4 +1,8 @@
-"""Connected components of a table of edges."""
+"""Connected components of a table of edges.
+
+Defined results: edges may be repeated and stand either way round; an empty table gives an
+empty result.
+"""
 
 from __future__ import annotations
 

@@ -16,7 +16,7 @@ held. Blocks send a sum and one link per document.
 Defined results: a null or empty text has no shingles and no links; a text of one to four
 words has one shingle; rows with one id count as one document; rows without an id are
 joined by their texts and get a made-up negative number as class, unless a row with an
-id is in it.
+id is in it; an empty table gives an empty result.
 """
 
 from __future__ import annotations

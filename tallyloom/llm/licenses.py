@@ -10,7 +10,8 @@ Spans are small rows (document, rule, start, end). Their order within a document
 from a window per document, never per rule or label, so a popular license is not a hot key.
 
 Defined results: a null or empty text has no words and no labels; repeated rows get the
-same result each.
+same result each; a text of any length is read whole, in one task; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations

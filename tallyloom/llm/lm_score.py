@@ -14,7 +14,7 @@ unknown one. All counts cover all training documents; nothing is cut off.
 
 Defined results: a null or empty text has one token, its end; a null id counts as the text
 "null" when documents are dealt into training and held-out ones; repeated rows are
-documents of their own.
+documents of their own; a long text is a batch of its own; an empty table gives an empty result.
 """
 
 from __future__ import annotations

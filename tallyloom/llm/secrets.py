@@ -11,7 +11,8 @@ within classes of length, over all runs of the corpus; p-values are binned, so t
 control needs a table of classes times bins only.
 
 Spans are small rows keyed by document. Defined results: a null or empty text has no
-spans; repeated rows get the same result each.
+spans; repeated rows get the same result each; a text of any length is read whole, in one
+task; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -26,7 +26,8 @@ others. Hot passages collapse before the shuffle, one row per batch and content.
 
 Defined results: a null text is empty; texts under LENGTH bytes lose nothing; rows with
 one id are one document, so equal rows do not remove each other; documents without an id
-come last, in order of a hash of their text; texts of any length are processed in slices.
+come last, in order of a hash of their text; texts of any length are processed in slices;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
