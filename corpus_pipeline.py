@@ -2,8 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which run() writes to the
 shared folder and reads again as the docs of the next. The first four return rows of
-documents with all their columns, from the first on without the common lines of their hosts; the last returns counts and digests of ids and of the
-bytes decoded from them. There is no SQL for the whole: SQL cannot say the encoding.
+documents with all their columns, from the first on without the common lines of their
+hosts; the last returns counts and digests of ids and of the bytes decoded from them. There
+is no SQL for the whole: SQL cannot say the encoding.
+
+Defined results: a row without text or with too few words goes in the first stage; texts of
+any length pass whole; of repeated rows and copies one row stays; the mix may write it up to
+three times; ties are broken as the operators say; columns of any name come through
+unchanged; an empty table gives an empty result.
 """
 
 from __future__ import annotations
