@@ -180,3 +180,22 @@ def model_scores(rows, discount=0.75):
             score += math.log10(p)
         out[i] = (held[i], len(w), sum(single[x] > 0 for x in w), total, sum(map(math.log10, low)), score)
     return out
+
+
+# Plain words for made names.
+PROSE = """
+account address amount archive balance barrier between billing browser builder button cache calendar capture category
+channel checkout client cluster collection column comment company config connection consumer content context control
+counter create current customer database default delete delivery deploy device document domain download driver dynamic
+editor element email employee engine entity error event example exchange export factory feature fetch field filter
+folder format forward function gateway general generate graph group handler header history image import index input
+instance integer internal invoice iterator journal keyboard language layout length library listener local location
+machine manager mapping market member memory merge message method model module monitor network normal notification
+number object observer option order output package parameter parser partition password path pattern payment pending
+person pipeline platform policy position prefix preview price priority process product profile project property
+protocol provider public quantity query queue random reader record region register remote render report request
+resource response result return review router sample schedule schema scope search section security select sender
+server service session setting shipping signal single snapshot source static status storage stream string subject
+submit support switch symbol system table target template thread ticket timeout token transfer update upload user
+validate value vector version view window worker writer zone
+"""

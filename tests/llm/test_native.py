@@ -162,6 +162,41 @@ def test_secret_recall_by_alphabet_length_and_separators(spark):
     assert all(found[9000 + k] == "" for k in range(40))
 
 
+def test_secret_scan_leaves_names_alone_beside_keys(spark):
+    """Names of code, paths and versions are told as random under 2 in 100; keys between them over 95 in 100."""
+    import string
+
+    draw = random.Random(17)
+    words = sorted({w for w in re.findall("[a-z]{4,9}", brute.PROSE)})
+    pick = lambda k: [draw.choice(words) for _ in range(k)]
+    long = lambda make: next(x for x in iter(make, None) if len(x) >= 20)
+    low, up, ten = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    of = lambda a, n: "".join(draw.choice(a) for _ in range(n))
+    names = {
+        "camel": lambda: "".join(w.title() for w in pick(4)),
+        "camel, number": lambda: "".join(w.title() for w in pick(4)) + str(draw.randint(1, 99)),
+        "snake": lambda: "_".join(pick(4)),
+        "capitals": lambda: "_".join(pick(4)).upper(),
+        "path": lambda: "/".join(w + str(draw.randint(0, 9)) for w in pick(6)),
+        "camel path": lambda: "/".join(draw.choice([w, w.title(), w + draw.choice(words).title()]) for w in pick(5)),
+        "version": lambda: f"{pick(1)[0]}-{draw.randint(0, 30)}-{draw.randint(0, 30)}-{draw.randint(0, 99)}-SNAPSHOT-{pick(1)[0]}{draw.randint(1, 2030)}",
+        "dated path": lambda: f"{pick(1)[0]}/20{draw.randint(10, 30)}/{draw.randint(10, 12)}/{draw.randint(10, 30)}/{pick(1)[0]}",
+    }
+    keys = {
+        "base62 24": lambda: of(low + up + ten, 24), "base62 40": lambda: of(low + up + ten, 40),
+        "base64 44": lambda: of(low + up + ten + "+/", 43) + "=", "base36 40": lambda: of(low + ten, 40), "base32 52": lambda: of(up + "234567", 52),
+    }
+    rows, kinds = [], []
+    for kind, make in {**names, **keys}.items():
+        for _ in range(200):
+            rows.append((len(rows), f"see {long(make)} there"))
+            kinds.append(kind)
+    told = {r.doc_id: "random" in r.spans for r in secrets.scan(docs_table(spark, rows)).collect()}
+    share = {kind: sum(told[i] for i, k in enumerate(kinds) if k == kind) / 200 for kind in {**names, **keys}}
+    assert {k: share[k] for k in names if share[k] >= 0.02} == {}
+    assert {k: share[k] for k in keys if share[k] <= 0.95} == {}
+
+
 def test_secret_spans_keep_the_base_ones_in_order(spark):
     (row,) = secrets.scan(docs_table(spark, [SECRETS[3]])).collect()
     base = brute.secret_base(SECRETS[3][1])[2]
