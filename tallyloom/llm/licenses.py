@@ -6,6 +6,9 @@ that a rule matches. For the others each rule whose keyword occurs is matched, a
 match is a span of words. A span inside another of the same or a stronger priority is
 suppressed, so a long signature outranks the short names inside it.
 
+Rules come from two places: those written by hand (sentences, notices, versions and headers
+of the GNU family, licenses by name), and names put into the forms that texts use for them.
+
 Spans are small rows (document, rule, start, end). Their order within a document comes
 from a window per document, never per rule or label, so a popular license is not a hot key.
 
@@ -35,10 +38,10 @@ NAMES = (
     ("mit", (" mit ",), "(?:mit|mit x11)"),
     ("expat", (" expat",), "expat"),
     ("apache", (" apache",), "(?:the )?apache(?: software)?"),
-    ("apache-2.0", (" apache",), "apache(?: license)?(?: version)? 2(?: 0)?"),
+    ("apache-2.0", (" apache",), "apache(?: license)?(?: version)? 2(?: 0)?(?! [1-9])"),
     ("gpl", (" gpl",), "(?:gnu )?gpl"),
-    ("gpl-2.0", (" gpl", " general public"), "(?:gnu )?(?:gpl ?v?2(?: 0)?|general public license(?: version)? v?2(?: 0)?)"),
-    ("gpl-3.0", (" gpl", " general public"), "(?:gnu )?(?:gpl ?v?3(?: 0)?|general public license(?: version)? v?3(?: 0)?)"),
+    ("gpl-2.0", (" gpl", " general public"), "(?:gnu )?(?:gpl ?v?2(?: 0)?|(?<!lesser )(?<!library )(?<!affero )general public license(?: version)? v?2(?: 0)?)"),
+    ("gpl-3.0", (" gpl", " general public"), "(?:gnu )?(?:gpl ?v?3(?: 0)?|(?<!lesser )(?<!library )(?<!affero )general public license(?: version)? v?3(?: 0)?)"),
     ("lgpl", (" lgpl", " lesser", " library"), "(?:gnu )?(?:lgpl(?: ?v?[23](?: [01])?)?|(?:lesser|library) general public)"),
     ("agpl", (" agpl", " affero"), "(?:gnu )?(?:agpl(?: ?v?3(?: 0)?)?|affero general public)"),
     ("gfdl", (" gfdl", " fdl", " free documentation"), "(?:gnu )?(?:gfdl|fdl|free documentation)"),
@@ -87,7 +90,7 @@ NAMES = (
 FORMS = (
     ("spdx", "spdx license identifier {}(?: only| or later)?", 1, 0.99),
     ("under", "(?:licen[cs]ed|released|distributed|published|available|provided) under (?:the )?(?:terms of (?:the )?)?{}(?: licen[cs]e)?", 2, 0.95),
-    ("licen", "{} (?:software |public |free )?licen[cs]e(?: version [0-9]+(?: [0-9]+)?)?", 3, 0.85),
+    ("licen", "{} (?:software |public |free )?licen[cs]ed?(?: version [0-9]+(?: [0-9]+)?)?", 3, 0.85),
     ("licen", "licen[cs]e {}", 4, 0.6),
     ("terms", "terms of (?:the )?{}", 4, 0.6),
 )
@@ -110,6 +113,149 @@ SENTENCES = (
     ("proprietary", "confidential", "(?:proprietary and confidential|confidential and proprietary)"),
 )
 
+GPL = "(?:gnu )?(?:gpl|(?<!lesser )(?<!library )(?<!affero )general public licen[cs]e)"
+LGPL = "(?:gnu )?(?:lgpl|(?:lesser|library) general public licen[cs]e)"
+AGPL = "(?:gnu )?(?:agpl|affero general public licen[cs]e)"
+VERSION = " ?(?:v ?|ver |version )?"
+LATER = " (?:(?:or|and) (?:at your option )?(?:any )?later|or newer|plus)"
+HEADER = " as published by the free software foundation (?:either )?version "
+FAMILY = (" gpl", " lgpl", " agpl", " general public")
+# Written by hand, for texts with "general public" or a short name of that family: label, pattern. Priority 2.
+GNU = (
+    ("gpl-1.0", GPL + " ?(?:v ?|ver |version )1(?: 0)?"),
+    ("gpl-2.0", GPL + VERSION + "2(?: 0)?(?: only)?"),
+    ("gpl-3.0", GPL + VERSION + "3(?: 0)?(?: only)?"),
+    ("gpl-2.0-or-later", GPL + VERSION + "2(?: 0)?" + LATER),
+    ("gpl-3.0-or-later", GPL + VERSION + "3(?: 0)?" + LATER),
+    ("gpl-2.0", "version 2(?: 0)? of the " + GPL),
+    ("gpl-3.0", "version 3(?: 0)? of the " + GPL),
+    ("gpl-2.0", GPL + HEADER + "2(?: of the licen[cs]e)?"),
+    ("gpl-3.0", GPL + HEADER + "3(?: of the licen[cs]e)?"),
+    ("gpl-2.0-or-later", GPL + HEADER + "2(?: of the licen[cs]e)?" + LATER),
+    ("gpl-3.0-or-later", GPL + HEADER + "3(?: of the licen[cs]e)?" + LATER),
+    ("gpl-2.0", "gnu general public licen[cs]e version 2 june 1991"),
+    ("gpl-3.0", "gnu general public licen[cs]e version 3 29 june 2007"),
+    ("gpl-with-classpath-exception", GPL + "(?:" + VERSION + "[23](?: 0)?)? with (?:the )?(?:gnu )?classpath exception"),
+    ("gpl-with-linking-exception", GPL + "(?:" + VERSION + "[23](?: 0)?)? with (?:a |the )?(?:runtime |gcc |linking |font )+(?:library )?exception"),
+    ("lgpl-2.0", LGPL + VERSION + "2(?: 0)?(?: only)?(?! 1)"),
+    ("lgpl-2.1", LGPL + VERSION + "2 1(?: only)?"),
+    ("lgpl-3.0", LGPL + VERSION + "3(?: 0)?(?: only)?"),
+    ("lgpl-2.0-or-later", LGPL + VERSION + "2(?: 0)?" + LATER),
+    ("lgpl-2.1-or-later", LGPL + VERSION + "2 1" + LATER),
+    ("lgpl-3.0-or-later", LGPL + VERSION + "3(?: 0)?" + LATER),
+    ("lgpl-2.1", "version 2 1 of the " + LGPL),
+    ("lgpl-3.0", "version 3(?: 0)? of the " + LGPL),
+    ("lgpl-2.0-or-later", LGPL + HEADER + "2(?: of the licen[cs]e)?" + LATER),
+    ("lgpl-2.1-or-later", LGPL + HEADER + "2 1(?: of the licen[cs]e)?" + LATER),
+    ("lgpl-3.0-or-later", LGPL + HEADER + "3(?: of the licen[cs]e)?" + LATER),
+    ("lgpl-2.1", "gnu lesser general public licen[cs]e version 2 1 february 1999"),
+    ("agpl-1.0", AGPL + " ?(?:v ?|ver |version )1(?: 0)?"),
+    ("agpl-3.0", AGPL + VERSION + "3(?: 0)?(?: only)?"),
+    ("agpl-3.0-or-later", AGPL + VERSION + "3(?: 0)?" + LATER),
+    ("agpl-3.0", "version 3(?: 0)? of the " + AGPL),
+    ("agpl-3.0-or-later", AGPL + HEADER + "3(?: of the licen[cs]e)?" + LATER),
+)
+# Written by hand, for texts with "licen": label, keyword, pattern. Priority 2.
+NAMED = (
+    ("llama-community", " llama", "llama(?: [2-4](?: [0-9])?)? community licen[cs]e(?: agreement)?"),
+    ("llama-community", " meta llama", "meta llama [2-4](?: [0-9])? licen[cs]e"),
+    ("gemma", " gemma", "gemma licen[cs]e"),
+    ("openrail", " openrail", "openrail(?: m)?(?: licen[cs]e)?"),
+    ("openrail", " responsible ai", "(?:open )?responsible ai licen[cs]es?"),
+    ("creativeml-openrail-m", " creativeml", "creativeml open ?rail m(?: licen[cs]e)?"),
+    ("bigscience-rail", " bigscience", "bigscience (?:bloom )?(?:open ?)?rail(?: m)?(?: 1 0)?(?: licen[cs]e)?"),
+    ("bigcode-openrail-m", " bigcode", "bigcode open ?rail m(?: v1)?(?: licen[cs]e)?"),
+    ("falcon-llm", " falcon", "falcon(?: 180b| llm)?(?: tii)? licen[cs]e"),
+    ("mistral-non-production", " mistral", "mistral (?:ai )?non production licen[cs]e"),
+    ("mistral-research", " mistral", "mistral (?:ai )?research licen[cs]e"),
+    ("deepseek-model", " deepseek", "deepseek (?:model )?licen[cs]e(?: agreement)?"),
+    ("qwen", " qwen", "(?:tongyi )?qwen (?:research )?licen[cs]e(?: agreement)?"),
+    ("stability-community", " stability", "stability(?: ai)? community licen[cs]e"),
+    ("stability-non-commercial", " stability", "stability(?: ai)? non commercial (?:research )?(?:community )?licen[cs]e"),
+    ("ai2-impact", " impact", "ai2 impact licen[cs]e"),
+    ("nvidia-open-model", " nvidia", "nvidia open model licen[cs]e"),
+    ("apple-sample-code", " apple", "apple sample code licen[cs]e"),
+    ("hippocratic", " hippocratic", "hippocratic licen[cs]e(?: version)?(?: [1-3] [0-9])?"),
+    ("anti-996", " 996", "anti 996 licen[cs]e"),
+    ("polyform-noncommercial", " polyform", "polyform non ?commercial licen[cs]e"),
+    ("polyform-small-business", " polyform", "polyform small business licen[cs]e"),
+    ("polyform-shield", " polyform", "polyform shield licen[cs]e"),
+    ("polyform-perimeter", " polyform", "polyform perimeter licen[cs]e"),
+    ("polyform-strict", " polyform", "polyform strict licen[cs]e"),
+    ("prosperity", " prosperity", "prosperity public licen[cs]e"),
+    ("parity", " parity", "parity public licen[cs]e"),
+    ("blue-oak", " blue oak", "blue oak model licen[cs]e"),
+    ("functional-source", " functional source", "functional source licen[cs]e"),
+    ("commons-clause", " commons clause", "commons clause (?:licen[cs]e )?(?:condition|restriction|licen[cs]e)"),
+    ("confluent-community", " confluent", "confluent community licen[cs]e"),
+    ("timescale", " timescale", "timescale licen[cs]e"),
+    ("redis-source-available", " redis", "redis source available licen[cs]e"),
+    ("cockroachdb-community", " cockroach", "cockroach(?:db)? community licen[cs]e"),
+    ("elastic-2.0", " elastic", "elastic licen[cs]e(?: version)? (?:v ?)?2(?: 0)?"),
+    ("busl-1.1", " business source", "business source licen[cs]e(?: version)? (?:v ?)?1 1"),
+    ("odc-by", " open data commons", "open data commons attribution licen[cs]e"),
+    ("pddl", " public domain dedication", "public domain dedication and licen[cs]e"),
+    ("cdla-permissive", " community data", "community data licen[cs]e agreement permissive"),
+    ("cdla-sharing", " community data", "community data licen[cs]e agreement sharing"),
+    ("open-government", " open government", "open government licen[cs]e"),
+    ("etalab", " etalab", "etalab(?: open)? licen[cs]e"),
+    ("mit-0", " no attribution", "mit no attribution(?: licen[cs]e)?"),
+    ("x11", " x11", "x11 licen[cs]e"),
+    ("freetype", " freetype", "freetype (?:project )?licen[cs]e"),
+    ("ijg", " jpeg", "independent jpeg group(?: s)? licen[cs]e"),
+    ("icu", " icu", "icu licen[cs]e"),
+    ("unicode", " unicode", "unicode (?:data files and software |terms of use |inc )?licen[cs]e(?: agreement)?(?: v3)?"),
+    ("ms-rl", " reciprocal", "microsoft reciprocal licen[cs]e"),
+    ("apsl", " apple", "apple public source licen[cs]e"),
+    ("ipl", " ibm", "ibm public licen[cs]e"),
+    ("cpl", " common public", "common public licen[cs]e"),
+    ("cpal", " attribution licen", "common public attribution licen[cs]e"),
+    ("qpl", " q public", "q public licen[cs]e"),
+    ("sleepycat", " sleepycat", "sleepycat licen[cs]e"),
+    ("lppl", " latex", "latex project public licen[cs]e"),
+    ("ecl-2.0", " educational", "educational community licen[cs]e"),
+    ("upl", " universal permissive", "universal permissive licen[cs]e"),
+    ("mulan-psl", " mulan", "mulan (?:permissive software licen[cs]e|psl)(?: v?[12])?"),
+    ("cecill", " cecill", "cecill(?: [bc])?(?: free software)? licen[cs]e"),
+    ("rpl", " reciprocal", "(?<!microsoft )reciprocal public licen[cs]e"),
+    ("eudatagrid", " eu datagrid", "eu datagrid software licen[cs]e"),
+    ("intel-open-source", " intel", "intel open source licen[cs]e"),
+    ("nasa-1.3", " nasa", "nasa open source (?:licen[cs]e )?agreement(?: version)?(?: 1 3)?"),
+    ("mpl-1.1", " mozilla", "mozilla public licen[cs]e(?: version)? (?:v ?)?1 1"),
+    ("mpl-2.0", " mozilla", "mozilla public licen[cs]e(?: version)? (?:v ?)?2(?: 0)?"),
+    ("epl-1.0", " eclipse", "eclipse public licen[cs]e(?: version)? (?:v ?)?1(?: 0)?"),
+    ("epl-2.0", " eclipse", "eclipse public licen[cs]e(?: version)? (?:v ?)?2(?: 0)?"),
+    ("eupl-1.2", " european union", "european union public licen[cs]e(?: version)? (?:v ?)?1 2"),
+    ("cddl-1.0", " common development", "common development and distribution licen[cs]e(?: cddl)?(?: version)? (?:v ?)?1(?: 0)?"),
+    ("artistic-2.0", " artistic", "artistic licen[cs]e(?: version)? (?:v ?)?2(?: 0)?"),
+    ("afl-3.0", " academic free", "academic free licen[cs]e(?: version)? (?:v ?)?3(?: 0)?"),
+    ("osl-3.0", " open software", "open software licen[cs]e(?: version)? (?:v ?)?3(?: 0)?"),
+    ("gfdl-1.3", " free documentation", "gnu free documentation licen[cs]e(?: version)? (?:v ?)?1 3"),
+    ("apache-1.1", " apache", "apache(?: software)? licen[cs]e(?: version)? (?:v ?)?1 1"),
+    ("apache-2.0", " apache", "apache licen[cs]e version 2 0 january 2004"),
+    ("bsd-2-clause", " two clause", "two clause bsd(?: style)?(?: licen[cs]e)?"),
+    ("bsd-3-clause", " three clause", "three clause bsd(?: style)?(?: licen[cs]e)?"),
+    ("bsd-4-clause", " bsd", "(?:original bsd licen[cs]e|(?:bsd 4|4) clause(?: bsd)?(?: licen[cs]e)?)"),
+    ("bsd-style", " bsd", "bsd (?:style|like|type) licen[cs]e"),
+    ("mit-style", " mit ", "mit (?:style|like|type) licen[cs]e"),
+    ("dual-license", " dual", "dual(?:ly)? licen[cs]ed"),
+    ("commercial", " commercial", "(?:requires|under|purchase|obtain) (?:a |the )?(?:separate )?commercial licen[cs]e"),
+    ("evaluation", " evaluation", "evaluation (?:licen[cs]e|purposes only)"),
+    ("unlicensed", " unlicensed", "unlicensed proprietary"),
+)
+# Written by hand, sentences of notices: label, keyword, pattern. Priority 1.
+NOTICES = (
+    ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software must display"),
+    ("mit", "permission", "the above copyright notice and this permission notice shall be included in all copies"),
+    ("hpnd", "permission", "permission to use copy modify and distribute this software and its documentation for any purpose"),
+    ("gnu-all-permissive", "permitted in any medium", "copying and distribution of this file with or without modification are permitted in any medium"),
+    ("json", "used for good", "the software shall be used for good not evil"),
+    ("as-is", "warrant", "this software is provided as is without any express or implied warranty"),
+    ("lgpl", "free software", "this library is free software you may copy distribute or modify it"),
+    ("mit", " x11", "(?:mit x11|x11 mit)"),
+    ("gemma", " gemma", "gemma terms of use"),
+)
+
 
 def rules() -> list[tuple[str, int, float, list[tuple[str, ...]], str, bool]]:
     """(label, priority, weight, keywords, pattern, base) of every rule, base phrases first.
@@ -121,6 +267,9 @@ def rules() -> list[tuple[str, int, float, list[tuple[str, ...]], str, bool]]:
     for keyword, form, priority, weight in FORMS:
         for label, keywords, name in NAMES:
             out.append((label, priority, weight, [(keyword,), keywords], form.format(name), False))
+    out += [(label, 1, 0.97, [(keyword,)], pattern, False) for label, keyword, pattern in NOTICES]
+    out += [(label, 2, 0.95, [FAMILY], pattern, False) for label, pattern in GNU]
+    out += [(label, 2, 0.95, [("licen",), (keyword,)], pattern, False) for label, keyword, pattern in NAMED]
     for label, keywords, name in NAMES:  # names with a version or variant say enough alone
         if "-" in label:
             out.append((label, 2, 0.9, [keywords], name, False))
@@ -128,7 +277,7 @@ def rules() -> list[tuple[str, int, float, list[tuple[str, ...]], str, bool]]:
 
 
 def gate(words: Column) -> Column:
-    """Whether the keywords of some rule occur: rules with the same ones are asked once, the names of a form together."""
+    """Whether the keywords of some rule occur: rules with the same ones are asked once, forms with the same names together."""
     any_of = lambda keys: reduce(lambda a, k: a | k, [F.contains(words, F.lit(k)) for k in sorted(keys)])
     alone, forms = set(), {}
     for _, _, _, keywords, _, _ in rules():
@@ -137,8 +286,12 @@ def gate(words: Column) -> Column:
         else:
             (form,), names = keywords
             forms.setdefault(form, set()).update(names)
-    names = set().union(*forms.values()) - alone
-    return any_of(alone) | (any_of(forms) & any_of(names))
+    common = set.intersection(*forms.values())
+    out = any_of(alone) | (any_of(forms) & any_of(common - alone))
+    for form, names in sorted(forms.items()):
+        if names - common - alone:
+            out = out | (any_of([form]) & any_of(names - common - alone))
+    return out
 
 
 def as_words(text: Column) -> Column:

@@ -66,6 +66,8 @@ def example(pattern):
                 out += chr(arg[0][1] if str(arg[0][0]) == "LITERAL" else arg[0][1][0])
             case "ANY":
                 out += "x"
+            case "ASSERT_NOT":
+                pass
             case _:
                 raise ValueError(op)
     return out
@@ -99,6 +101,41 @@ def test_names_and_sentences_alone_pass_the_gate(spark):
     assert plain.labels == "" and plain.score == 0.0
 
 
+def test_notices_and_names_as_people_write_them(spark):
+    """Text, the labels that it must get and, behind a bar, those that it must not get."""
+    header = "under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    cases = {
+        "GPL version 2": "gpl-2.0|gpl-3.0", "GNU GPL version 3 or later": "gpl-3.0-or-later|gpl-3.0,gpl-2.0", "version 2 of the GPL": "gpl-2.0",
+        "GPLv2+, or GPL v2 or any later version": "gpl-2.0-or-later", "version 3 of the GNU General Public License": "gpl-3.0|lgpl-3.0",
+        "MIT licensed": "mit", "MIT/X11": "mit", "It is Apache licensed.": "apache|apache-2.0", "dual-licensed, MIT and Apache-2.0": "dual-license,apache-2.0",
+        header.format("General Public License", 3): "gpl-3.0-or-later|gpl-2.0-or-later,lgpl-3.0-or-later",
+        header.format("General Public License", 2): "gpl-2.0-or-later|gpl-3.0-or-later",
+        header.format("Lesser General Public License", "2.1"): "lgpl-2.1-or-later|gpl-2.0,gpl-2.0-or-later,lgpl-2.0",
+        header.format("Lesser General Public License", 3): "lgpl-3.0-or-later|gpl-3.0,gpl-3.0-or-later",
+        header.format("Library General Public License", 2): "lgpl-2.0-or-later|gpl-2.0,gpl-2.0-or-later",
+        header.format("Affero General Public License", 3): "agpl-3.0-or-later|gpl-3.0,gpl-3.0-or-later",
+        "GNU Lesser General Public License v2.1": "lgpl-2.1|gpl-2.0,lgpl-2.0", "LGPL-2.1-only": "lgpl-2.1|gpl-2.0", "LGPL 3": "lgpl-3.0|gpl-3.0",
+        "GNU Affero General Public License v3.0": "agpl-3.0|gpl-3.0", "GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007": "gpl-3.0|gpl-2.0",
+        "GPL-2.0 with Classpath exception": "gpl-with-classpath-exception", "version 2 of the LGPL": "|gpl-2.0",
+        "Llama 3.1 Community License Agreement": "llama-community", "META LLAMA 3 COMMUNITY LICENSE": "llama-community", "the Gemma license": "gemma",
+        "CreativeML Open RAIL-M License": "creativeml-openrail-m", "licensed with BigScience RAIL 1.0": "bigscience-rail", "Qwen LICENSE AGREEMENT": "qwen",
+        "Mistral AI Research License": "mistral-research", "DeepSeek Model License": "deepseek-model", "Stability AI Community License": "stability-community",
+        "Hippocratic License 2.1": "hippocratic", "PolyForm Noncommercial License 1.0.0": "polyform-noncommercial", "Functional Source License": "functional-source",
+        "Business Source License 1.1": "busl-1.1", "Elastic License 2.0": "elastic-2.0", "Blue Oak Model License": "blue-oak", "BSD-style license": "bsd-style",
+        "Mozilla Public License, v. 2.0": "mpl-2.0|mpl-1.1", "Mozilla Public License version 2.0": "mpl-2.0|mpl-1.1", "Eclipse Public License - v 1.0": "epl-1.0|epl-2.0", "Gemma Terms of Use": "gemma",
+        "All advertising materials mentioning features or use of this software must display the following": "bsd-4-clause|bsd-2-clause",
+        "The Software shall be used for Good, not Evil.": "json", "Apache 2.4 serves the page": "|apache-2.0,apache", "Apache Software License, Version 1.1": "apache-1.1|apache-2.0",
+        "a llama in a community needs no license": "|llama-community", "the general public has version 3 of the plan": "|gpl-3.0,gpl", "falcon and mistral, gemma, stability": "|falcon-llm,gemma",
+    }
+    found = {r.doc_id: set(r.labels.split(",")) for r in licenses.detect(docs_table(spark, list(enumerate(cases)))).collect()}
+    wrong = {}
+    for k, (text, expected) in enumerate(cases.items()):
+        must, _, never = expected.partition("|")
+        if not set(filter(None, must.split(","))) <= found[k] or set(filter(None, never.split(","))) & found[k]:
+            wrong[text] = found[k]
+    assert wrong == {}
+
+
 def test_a_name_inside_a_longer_signature_is_suppressed(spark):
     spans = spark.createDataFrame(
         [(1, 0, "gpl", 3, 0.8, False, 0, 3), (1, 0, "mit", 3, 0.8, False, 1, 2), (1, 0, "isc", 1, 0.9, False, 1, 2)],
