@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tallyloom.functions.numeric import truncate
 from tallyloom.operators.hot import lookup_join, rank_in_group, running_total
 
+# Top apps of which a copy may go to every executor.
+BROADCAST_ROWS = 10_000
+
 
 def unique_categories(categories: DataFrame, order: str | None = None) -> DataFrame:
     """One category per app: the one with the lowest order value, or the lowest category."""
@@ -61,8 +64,13 @@ def top_apps_by_users(log: DataFrame, count: int = 200) -> DataFrame:
 
 
 def top_app_usage(log: DataFrame, count: int = 200) -> DataFrame:
-    """days, duration and times of the top apps per user, as rows (uid, slot, ...)."""
-    top = F.broadcast(top_apps_by_users(log, count).select("app", "slot"))
+    """days, duration and times of the top apps per user, as rows (uid, slot, ...).
+
+    Up to BROADCAST_ROWS apps go to every executor; more are joined as Spark finds best.
+    """
+    top = top_apps_by_users(log, count).select("app", "slot")
+    if count <= BROADCAST_ROWS:
+        top = F.broadcast(top)
     return (
         log.join(top, "app")
         .groupBy("uid", "slot")

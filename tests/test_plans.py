@@ -91,3 +91,14 @@ def test_bucketed_blocks_join_without_an_exchange(spark):
         assert not [t for t in spark.catalog.listTables() if t.name.startswith("tallyloom_")]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", wide)
+
+
+def test_top_apps_are_broadcast_only_up_to_a_bound(spark, monkeypatch):
+    log = Roles(spark, SMALL).usage()
+    few = ranking.top_app_usage(log, 20)
+    assert "strategy=broadcast" in few._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(ranking, "BROADCAST_ROWS", 19)
+    many = ranking.top_app_usage(log, 20)
+    assert "strategy=broadcast" not in many._jdf.queryExecution().analyzed().toString()
+    order = lambda df: sorted(map(tuple, df.collect()))
+    assert order(few) == order(many)
