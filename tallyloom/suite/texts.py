@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.arrays import LONG_WORD, split_list, with_bigrams, words
 from tallyloom.functions.numeric import round_even
 from tallyloom.operators import categories, sequence, text, usage
+from tallyloom.operators.hot import spread
 from tallyloom.suite.cleaning import SPEND_CUTS
 from tallyloom.suite.registry import query, rounded, with_parts
 
@@ -120,6 +121,7 @@ def count_vector(r):
 def count_vector_train(r):
     """Vocabulary from the labelled users only."""
     log = r.kept("log", lambda: r.usage().select("uid", "app"))
+    log = spread(log, ["uid", "app"], log.count())
     rows = log.select(F.col("uid").alias("doc"), F.col("app").alias("token"))
     fit = sequence.only_users(log, r.labelled())
     return text.count_rows(rows, 1, fit.select(F.col("uid").alias("doc"), F.col("app").alias("token")))
