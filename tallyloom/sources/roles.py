@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators.hot import spread
 from tallyloom.sources.stage import stage
 
 # The market segments; a label is the 1-based position.
@@ -79,6 +80,10 @@ class Roles:
             F.col("o_orderdate").cast("date").alias("use_date"),
         )
 
+    def spread_usage(self, *keys: str) -> DataFrame:
+        """The usage log dealt by some of its columns over as many tasks as its lines need."""
+        return spread(self.usage(), list(keys), self.table("lineitem").count())
+
     def month_log(self) -> DataFrame:
         """30-day usage log from the events, one row per (uid, app, use_date)."""
         events = self.table("events").select(

@@ -56,7 +56,7 @@ _copies = f"""SELECT uid AS doc, app AS token, unnest(range(
     ),
 )
 def tfidf_usage(r):
-    rows = sequence.replicate(usage.app_totals(r.usage()), SPEND_CUTS)
+    rows = sequence.replicate(usage.app_totals(r.spread_usage("uid", "app")), SPEND_CUTS)
     docs = rows.select(F.col("uid").alias("doc"), F.col("app").alias("token"))
     return _six(text.tfidf_rows(docs, 0.001))
 
