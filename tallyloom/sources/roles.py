@@ -11,8 +11,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.hot import spread
-from tallyloom.sources.stage import stage
+from tallyloom.operators.hot import spread, tasks_for
+from tallyloom.sources.stage import stage, stage_by_key
 
 # The market segments; a label is the 1-based position.
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -54,6 +54,13 @@ class Roles:
             self._kept[name] = stage(build())
         return self._kept[name]
 
+    def kept_by_user(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The same in buckets of users, as many as the lines of the log need: work per user needs no exchange."""
+        if name not in self._kept:
+            buckets = tasks_for(self.spark, self.table("lineitem").count())
+            self._kept[name] = stage_by_key(build(), "uid", buckets)
+        return self._kept[name]
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
@@ -128,7 +135,11 @@ class Roles:
 
         A list has at most one entry per part name, of which there are 64 at every scale.
         """
-        pairs = self.installed()
+        return self.lists_of(self.installed())
+
+    @staticmethod
+    def lists_of(pairs: DataFrame) -> DataFrame:
+        """The lists of distinct pairs (uid, app)."""
         return pairs.groupBy("uid").agg(F.concat_ws("#", F.array_sort(F.collect_list("app"))).alias("apps"))
 
     def attributes(self) -> DataFrame:
