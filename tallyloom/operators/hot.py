@@ -173,23 +173,30 @@ def grouped_with_medians(
     sized_by: DataFrame | None = None,
     bounded: bool = False,
     enrich: Callable[[DataFrame], DataFrame] | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
     """One grouped aggregate with exact medians: {column: output name}.
 
     `bounded` says that the group size has a natural bound (days of a calendar), so no
-    search for hot groups is needed. `enrich` attaches columns to the rows, after they
-    have been shuffled.
+    search for hot groups is needed. `enrich` attaches columns to the rows. `dealt` says
+    that the rows lie in buckets of the group and that `enrich` leaves them there.
 
     Half-built medians are larger than the rows they come from, so ordinary groups are
-    shuffled as rows, and the aggregate then needs no exchange of its own.
+    shuffled as rows, and the aggregate then needs no exchange of its own. The columns are
+    attached before: a join with a table too large for a broadcast moves the rows.
     """
     enrich = enrich or (lambda rows: rows)
     middles = [F.median(c).alias(name) for c, name in medians.items()]
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        rows = enrich(rows) if dealt else enrich(rows).repartition(*group)
+        return rows.groupBy(*group).agg(*measures, *middles)
+
     hot = None if bounded else hot_keys(df if sized_by is None else sized_by, group)
     if hot is None:
-        return enrich(df.repartition(*group)).groupBy(*group).agg(*measures, *middles)
+        return grouped(df)
     light, heavy = split_hot(df, group, hot)
-    light = enrich(light.repartition(*group)).groupBy(*group).agg(*measures, *middles)
+    light = grouped(light)
     heavy = enrich(heavy)
     found = _sliced_medians(heavy, group, list(medians))
     heavy = heavy.groupBy(*group).agg(*measures).join(found, group, "left")

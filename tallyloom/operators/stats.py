@@ -28,12 +28,14 @@ def six_stats(
     sized_by: DataFrame | None = None,
     bounded: bool = False,
     enrich: Callable[[DataFrame], DataFrame] | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
     """mean, min, max, median, std and var of columns per group, as <prefix>_<statistic>.
 
     std and var are sample statistics and null for one row. `columns` maps a column to
     its prefix. All groups and columns are served by one aggregate. `enrich` attaches
-    the columns to the rows of `df`, if it does not have them.
+    the columns to the rows of `df`, if it does not have them. `dealt` rows lie in
+    buckets of the group.
     """
     measures = []
     for c, prefix in columns.items():
@@ -45,7 +47,7 @@ def six_stats(
             F.var_samp(F.col(c).cast("double")).alias(f"{prefix}_var"),
         ]
     medians = {c: f"{prefix}_median" for c, prefix in columns.items()}
-    out = grouped_with_medians(df, group, measures, medians, sized_by, bounded, enrich)
+    out = grouped_with_medians(df, group, measures, medians, sized_by, bounded, enrich, dealt)
     names = [f"{p}_{s}" for p in columns.values() for s in STATS]
     out = out.select(*group, *names)
     if mean_squared:

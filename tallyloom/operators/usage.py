@@ -197,19 +197,19 @@ def max_app_totals(apps: DataFrame) -> DataFrame:
     )
 
 
-def row_stats(log: DataFrame) -> DataFrame:
+def row_stats(log: DataFrame, dealt: bool = False) -> DataFrame:
     """Six statistics of duration and times over the log rows of each user."""
-    return six_stats(log, ["uid"], {"duration": "duration", "times": "times"}, sized_by=log.select("uid"))
+    return six_stats(log, ["uid"], {"duration": "duration", "times": "times"}, sized_by=log.select("uid"), dealt=dealt)
 
 
-def daily_app_stats(by_day: DataFrame) -> DataFrame:
+def daily_app_stats(by_day: DataFrame, dealt: bool = False) -> DataFrame:
     """Six statistics of the app rows per day. Day totals have one row per user and date."""
-    return six_stats(by_day, ["uid"], {"apps": "daily_apps"}, bounded=True)
+    return six_stats(by_day, ["uid"], {"apps": "daily_apps"}, bounded=True, dealt=dealt)
 
 
-def daily_sum_stats(by_day: DataFrame) -> DataFrame:
+def daily_sum_stats(by_day: DataFrame, dealt: bool = False) -> DataFrame:
     """Six statistics of the duration and times per day. Day totals have one row per user and date."""
-    return six_stats(by_day, ["uid"], {"duration": "daily_duration", "times": "daily_times"}, bounded=True)
+    return six_stats(by_day, ["uid"], {"duration": "daily_duration", "times": "daily_times"}, bounded=True, dealt=dealt)
 
 
 def _spread(sums: DataFrame, prefix: str) -> DataFrame:

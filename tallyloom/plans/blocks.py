@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import attributes, categories, clean, encode, priors, ranking, stats, text, usage
 from tallyloom.operators.assemble import assemble, slot_vector, sparse_block, to_vector
-from tallyloom.operators.hot import lookup_join
+from tallyloom.operators.hot import hot_keys, lookup_join, tasks_for
 from tallyloom.operators.stats import dense_codes
-from tallyloom.sources.stage import stage
+from tallyloom.sources.stage import stage, stage_by_key
 
 
 def usage_block(
@@ -27,15 +27,26 @@ def usage_block(
 ) -> DataFrame:
     """Everything the usage log says about a user, 0 where it says nothing.
 
-    The log is reduced to app totals and day totals, which are staged because many parts
-    follow from each. The parts arrive partitioned by uid, so the joins between them
-    need no further shuffle.
+    The log and what it is reduced to, app totals, day totals and categories, are staged in
+    buckets of uid because many parts follow from each: neither the parts nor the joins
+    between them shuffle the rows again. With a user too large for one task they are staged
+    as they come. The top apps stay one map per user until all parts are joined.
     """
     weekend = usage.is_weekend() if weekend is None else weekend
-    daily = stage(usage.daily_totals(log))
-    apps = stage(usage.app_totals_of(daily, weekend))
-    by_day = stage(usage.day_totals_of(daily))
-    categorised = categories.with_category(apps, app_categories)
+    log = stage(log)
+    dealt = hot_keys(log, ["uid"]) is None
+    buckets = tasks_for(log.sparkSession, log.count())
+
+    def keep(rows: DataFrame) -> DataFrame:
+        return stage_by_key(rows, "uid", buckets) if dealt else stage(rows)
+
+    log = keep(log)
+    daily = keep(usage.daily_totals(log))
+    apps = keep(usage.app_totals_of(daily, weekend))
+    by_day = keep(usage.day_totals_of(daily))
+    app_categories = stage(ranking.unique_categories(app_categories))
+    categorised = categories.with_category(apps.select("uid", "app", "duration", "times"), app_categories)
+    categorised = keep(categorised.drop("app"))
     profile = usage.profile(apps, days, *usage.calendar(by_day, weekend))
     profile = usage.weekend_weekday_ratios(usage.with_profile_bins(profile))
     spread = usage.daily_variance(by_day).join(usage.category_variance(categorised), "uid", "left")
@@ -56,14 +67,16 @@ def usage_block(
         session,
         usage.frequent_app_count(apps),
         priors.prior_rollup(pairs, app_priors, classes),
-        usage.row_stats(log),
-        usage.daily_app_stats(by_day),
-        _renamed(usage.daily_sum_stats(by_day.where(weekend)), "weekend_"),
-        _renamed(usage.daily_sum_stats(by_day.where(~weekend)), "weekday_"),
+        usage.row_stats(log, dealt),
+        usage.daily_app_stats(by_day, dealt),
+        _renamed(usage.daily_sum_stats(by_day.where(weekend), dealt), "weekend_"),
+        _renamed(usage.daily_sum_stats(by_day.where(~weekend), dealt), "weekday_"),
     ]
     if top:
-        blocks.append(ranking.top_app_wide(ranking.top_app_usage(log, top), top))
+        blocks.append(ranking.top_app_lists(ranking.top_app_usage(log, top)))
     out = assemble(profile, [_without(b, profile) for b in blocks])
+    if top:
+        out = ranking.top_app_columns(out, top)
     shares = {"duration_per_app_all": "app_share", "duration_1": "max_app_share", "duration_2": "second_app_share"}
     return usage.day_shares(out, shares, days)
 
