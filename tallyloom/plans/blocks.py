@@ -13,6 +13,9 @@ from tallyloom.operators.hot import hot_keys, lookup_join, tasks_for
 from tallyloom.operators.stats import dense_codes
 from tallyloom.sources.stage import stage, stage_by_key
 
+# Users whose wide rows one task builds.
+TASK_USERS = 50_000
+
 
 def usage_block(
     log: DataFrame,
@@ -135,19 +138,22 @@ def base_block(
     """Codes, crosses, arithmetic, capacities, flags and label priors of the attribute table.
 
     Missing attributes take their mode first. `capacities` names {prefix: (capacity, share left)};
-    what is left and used of them is coded too.
+    what is left and used of them is coded too. The attributes are staged, as modes, codes and
+    priors each read them; they are dealt over tasks by their number, since a few bytes of
+    them become a wide row.
     """
-    users = clean.mode_impute(clean.clamp_negative(users, counters), [*prior_attributes, *flags])
+    users = stage(clean.clamp_negative(users, counters))
+    tasks = tasks_for(users.sparkSession, users.count(), TASK_USERS)
+    users = clean.mode_impute(users, [*prior_attributes, *flags])
     users = attributes.cross_feature(attributes.capacity_left_used(users, capacities or {}), crosses)
     known = users.join(labelled, "uid")
     found = priors.attribute_priors(known, prior_attributes, classes)
     room = [f"{prefix}_{part}" for prefix in capacities or {} for part in ("left", "used")]
-    coded = encode.ordinal_encode(users, [*prior_attributes, *crosses, *room])
-    hot = encode.one_hot(coded, flags)
-    with_priors = priors.prior_backjoin(hot, found, prior_attributes, classes)
     if crosses:
-        crossed = priors.attribute_priors(known, list(crosses), classes, digits=2)
-        with_priors = priors.prior_backjoin(with_priors, crossed, list(crosses), classes)
+        found = found.unionByName(priors.attribute_priors(known, list(crosses), classes, digits=2))
+    coded = encode.ordinal_encode(users.repartition(tasks, "uid"), [*prior_attributes, *crosses, *room])
+    hot = encode.one_hot(coded, flags)
+    with_priors = priors.prior_backjoin(hot, found, [*prior_attributes, *crosses], classes)
     out = attributes.behaviour_arithmetic(with_priors, boots, traffic, counters)
     texts = [c for c, t in out.dtypes if t == "string"]
     return out.drop(*texts).na.fill(0)
