@@ -21,8 +21,10 @@ a shard is built, and no two are merged.
    all but the first in the corpus are marked.
 4. Marks are merged per document and taken out of its text.
 
-A task holds one shard of segments of at most 2 * LENGTH bytes, never whole documents of
-others. Hot passages collapse before the shuffle, one row per batch and content.
+A task holds the places of one shard of segments, then the text of GROUP_ROWS of them or of
+one anchor, at most 2 * LENGTH bytes each, never whole documents of others. The number of
+shards follows the bytes of text. Hot passages collapse before the shuffle, one row per batch
+and content.
 
 Defined results: a null text is empty; texts under LENGTH bytes lose nothing; rows with
 one id are one document, so equal rows do not remove each other; documents without an id
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import text_of
 from tallyloom.llm.hashing import mix
+from tallyloom.operators.hot import tasks_for
 from tallyloom.sources.stage import stage
 
 LENGTH = 100
@@ -47,6 +50,8 @@ KMER = 28
 SPREAD = LENGTH - KMER  # offsets of an anchor in its string: 0 to SPREAD
 SLICE = 1 << 20
 BATCH_BYTES = 8_000_000  # of text whose segments collapse together before the shuffle
+SHARD_BYTES = 32_000_000  # of text whose segments a shard has; there are no fewer shards than partitions
+GROUP_ROWS = 16_384  # segments that are compared at a time, unless one anchor has more
 PRIME = 0x9E3779B97F4A7C15 | 1
 _inverse = pow(PRIME, -1, 2**64)
 
@@ -206,33 +211,39 @@ def _anchors(texts: DataFrame, shards: int) -> DataFrame:
     return texts.mapInArrow(run, "shard int, blob binary, doc long, start long, stop long")
 
 
-def _first_contents(anchors: DataFrame) -> DataFrame:
-    """Per shard: spans of segments that repeat an earlier one, and (h, doc, at) of those whose text must be compared."""
+def _first_contents(anchors: DataFrame, shards: int) -> DataFrame:
+    """Per shard: spans of segments that repeat an earlier one, and (h, doc, at) of those whose text must be compared.
+
+    A task that several shards fall to keeps their blobs as they came and unpacks one shard at a time.
+    """
+    names = ["h", "doc", "at", "start", "stop"]
+
+    def spans_of(doc, start, stop):
+        none = pa.nulls(len(doc), pa.int64())
+        return pa.RecordBatch.from_arrays([none, pa.array(doc), none, pa.array(start), pa.array(stop)], names)
 
     def run(batches):
-        parts, spans = [], []
+        blobs = {}
         for batch in batches:
             blob = batch.column("blob")
-            parts += [_unsqueeze(b, 4) for b in blob.drop_null().to_pylist()]
+            held = batch.filter(pa.compute.is_valid(blob))
+            for shard, b in zip(held.column("shard").to_pylist(), held.column("blob").to_pylist()):
+                blobs.setdefault(shard, []).append(b)
             rest = batch.filter(blob.is_null())
-            spans.append([rest.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc", "start", "stop")])
-        if parts:
-            h, seg, doc, at, new, repeat = _collapse(*(np.concatenate(x) for x in zip(*parts)))
-            del parts
+            if len(rest):
+                yield spans_of(*_merged(*(rest.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc", "start", "stop"))))
+        while blobs:
+            _, parts = blobs.popitem()
+            h, seg, doc, at, new, repeat = _collapse(*(np.concatenate(x) for x in zip(*(_unsqueeze(b, 4) for b in parts))))
+            del parts, seg
             head = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
             several = np.repeat(np.add.reduceat(new.astype(np.int64), head) > 1, np.diff(np.append(head, len(h))))
-            spans.append([doc[repeat], *_spans_of(at[repeat])])
+            yield spans_of(*_merged(doc[repeat], *_spans_of(at[repeat])))
             keep = new & several
             h, doc, at = h[keep], doc[keep], at[keep]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(doc), pa.array(at), *[pa.nulls(len(h), pa.int64())] * 2], ["h", "doc", "at", "start", "stop"]
-            )
-        if spans:
-            doc, start, stop = _merged(*(np.concatenate(x) for x in zip(*spans)))
-            none = pa.nulls(len(doc), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, pa.array(doc), none, pa.array(start), pa.array(stop)], ["h", "doc", "at", "start", "stop"])
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(doc), pa.array(at), *[pa.nulls(len(h), pa.int64())] * 2], names)
 
-    return anchors.repartition("shard").mapInArrow(run, "h long, doc long, at long, start long, stop long")
+    return anchors.repartition(shards, "shard").mapInArrow(run, "h long, doc long, at long, start long, stop long")
 
 
 def repeated_strings(symbols: np.ndarray) -> np.ndarray:
@@ -267,40 +278,70 @@ def repeated_strings(symbols: np.ndarray) -> np.ndarray:
     return marks
 
 
+def _marked(doc: np.ndarray, at: np.ndarray, raws: list[bytes]):
+    """(doc, start, stop) of the marked parts of segments of whole anchors."""
+    anchor = (at >> 16) + (at >> 8 & 255)
+    order = np.lexsort((at, anchor, doc))
+    once = np.append(True, (np.diff(doc[order]) != 0) | (np.diff(at[order]) != 0))
+    order = order[once]  # rows of one id hold the same segments
+    doc, at, anchor, raws = doc[order], at[order], anchor[order], [raws[k] for k in order.tolist()]
+    ahead = at >> 8 & 255
+    symbols = np.zeros((SPREAD + LENGTH, len(raws)), np.uint8)
+    for begin in range(0, len(raws), GROUP_ROWS):  # places of bytes take far more room than the bytes
+        part = raws[begin : begin + GROUP_ROWS]
+        size = np.array([len(r) for r in part])
+        shift = np.cumsum(size) - size + ahead[begin : begin + len(part)] - SPREAD
+        row = np.repeat(np.arange(len(part)), size)
+        flat = np.frombuffer(b"".join(part), np.uint8)
+        symbols[np.arange(len(flat)) - shift[row], begin + row] = flat + 1
+    marks = repeated_strings(symbols)
+    del symbols, raws
+    edge = np.zeros((len(doc), SPREAD + 2), np.int8)
+    edge[:, :-1] = marks.T
+    del marks
+    step = np.diff(edge, prepend=0, axis=1)
+    r, low = np.nonzero(step == 1)
+    _, high = np.nonzero(step == -1)
+    return doc[r], anchor[r] - (high - 1), anchor[r] - low + LENGTH
+
+
 def _compared(segments: DataFrame) -> DataFrame:
-    """(doc, start, stop): marked parts of the segments of each shard."""
-    depth = SPREAD + LENGTH
+    """(doc, start, stop): marked parts of the segments of each anchor.
+
+    Segments of different anchors have no string in common. They come in order of the
+    anchor, so a task holds some of its anchors at a time, however many it has.
+    """
 
     def run(batches):
-        doc, at, raws = [], [], []
+        held, waiting = [], 0
+
+        def marked(stop=None):
+            """Of the held rows all, or those before the anchor that the rows of the next batch may go on with."""
+            nonlocal held, waiting
+            h, doc, at = (np.concatenate([x[k] for x in held]) for k in range(3))
+            raws = [r for x in held for r in x[3]]
+            end = len(h) if stop is None else int(np.searchsorted(h, stop))
+            held = [(h[end:], doc[end:], at[end:], raws[end:])] if end < len(h) else []
+            waiting = len(h) - end
+            begin = 0
+            heads = np.append(np.flatnonzero(np.append(True, h[1:end] != h[: end - 1])) if end else [], end).astype(np.int64)
+            while begin < end:
+                upto = int(heads[max(np.searchsorted(heads, begin + GROUP_ROWS, "right") - 1, np.searchsorted(heads, begin, "right"))])
+                d, start, stop_ = _marked(doc[begin:upto], at[begin:upto], raws[begin:upto])
+                yield _batch(doc=d, start=start, stop=stop_)
+                begin = upto
+
         for b in batches:
-            doc.append(b.column("doc").to_numpy(zero_copy_only=False).astype(np.int64))
-            at.append(b.column("at").to_numpy(zero_copy_only=False).astype(np.int64))
-            raws += b.column("bytes").to_pylist()
-        if not raws:
-            return
-        doc, at = np.concatenate(doc), np.concatenate(at)
-        anchor = (at >> 16) + (at >> 8 & 255)
-        order = np.lexsort((at, anchor, doc))
-        once = np.append(True, (np.diff(doc[order]) != 0) | (np.diff(at[order]) != 0))
-        order = order[once]  # rows of one id hold the same segments
-        doc, at, anchor, raws = doc[order], at[order], anchor[order], [raws[k] for k in order.tolist()]
-        size = np.array([len(r) for r in raws])
-        ahead = at >> 8 & 255
-        flat = np.frombuffer(b"".join(raws), np.uint8)
-        row = np.repeat(np.arange(len(raws)), size)
-        column = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size) - ahead[row] + SPREAD
-        symbols = np.zeros((depth, len(raws)), np.uint8)
-        symbols[column, row] = flat + 1
-        marks = repeated_strings(symbols).T
-        edge = np.zeros((len(raws), SPREAD + 2), np.int8)
-        edge[:, :-1] = marks
-        step = np.diff(edge, prepend=0, axis=1)
-        r, low = np.nonzero(step == 1)
-        _, high = np.nonzero(step == -1)
-        yield _batch(doc=doc[r], start=anchor[r] - (high - 1), stop=anchor[r] - low + LENGTH)
-
-    return segments.repartition("h").mapInArrow(run, "doc long, start long, stop long")
+            h, doc, at = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("h", "doc", "at"))
+            if len(h):
+                held.append((h, doc, at, b.column("bytes").to_pylist()))
+                waiting += len(h)
+                if waiting >= GROUP_ROWS and held[0][0][0] != h[-1]:
+                    yield from marked(h[-1])
+        if held:
+            yield from marked()
+
+    return segments.repartition("h").sortWithinPartitions("h").mapInArrow(run, "doc long, start long, stop long")
 
 
 def _packed(keyed: DataFrame) -> DataFrame:
@@ -332,8 +373,9 @@ def _texts_and(batch, column: str, *fields: str):
 
 def repeated_spans(keyed: DataFrame) -> DataFrame:
     """(doc, start, stop) in bytes, overlapping, of all strings that start earlier too. keyed: (doc, doc_id, text)."""
-    shards = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    firsts = stage(_first_contents(_anchors(keyed.select("doc", "text"), shards)))
+    size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = tasks_for(keyed.sparkSession, size, SHARD_BYTES)
+    firsts = stage(_first_contents(_anchors(keyed.select("doc", "text"), shards), shards))
     wanted = firsts.where("h is not null").groupBy("doc").agg(F.collect_list(F.struct("h", "at")).alias("wanted"))
 
     def cut(batches):
@@ -345,10 +387,11 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
                 at.append(place)
                 doc.append(np.full(len(place), docs[k]))
                 parts += [raw[a:b] for a, b in zip(*(x.tolist() for x in _spans_of(place)))]
-            if parts:
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(np.concatenate(x)) for x in (h, doc, at)], pa.array(parts, pa.binary())], ["h", "doc", "at", "bytes"]
-                )
+                if parts and (len(parts) >= GROUP_ROWS or k + 1 == len(docs)):
+                    yield pa.RecordBatch.from_arrays(
+                        [*[pa.array(np.concatenate(x)) for x in (h, doc, at)], pa.array(parts, pa.binary())], ["h", "doc", "at", "bytes"]
+                    )
+                    h, doc, at, parts = [], [], [], []
 
     segments = _packed(keyed).join(wanted.hint("merge"), "doc").mapInArrow(cut, "h long, doc long, at long, bytes binary")
     whole = firsts.where("h is null").select("doc", "start", "stop")
