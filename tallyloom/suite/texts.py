@@ -105,7 +105,7 @@ def tfidf_bigram(r):
     ),
 )
 def count_vector(r):
-    return text.count_vectors(r.texts(), words(F.col("text"), LONG_WORD), 0.0001)
+    return text.count_vectors(r.texts(), words(F.col("text"), LONG_WORD), 0.0001).select("doc", "token", "tf")
 
 
 @query(
@@ -124,4 +124,5 @@ def count_vector_train(r):
     log = spread(log, ["uid", "app"], log.count())
     rows = log.select(F.col("uid").alias("doc"), F.col("app").alias("token"))
     fit = sequence.only_users(log, r.labelled())
-    return text.count_rows(rows, 1, fit.select(F.col("uid").alias("doc"), F.col("app").alias("token")))
+    found = text.count_rows(rows, 1, fit.select(F.col("uid").alias("doc"), F.col("app").alias("token")))
+    return found.select("doc", "token", "tf")
